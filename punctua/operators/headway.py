@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.operators.joins import HEAVY_ROWS, salted_join
-from punctua.operators.settle import BROADCAST_ROWS, is_small, settle
+from punctua.operators.settle import BROADCAST_ROWS, store
 
 SECONDS_PER_DAY = 86_400
 
 
 def departure_slots(trips: DataFrame, depart: str = "scheduled_depart") -> DataFrame:
-    """Settled ``(service_code, second, rows, first, first_rows, most_rows)`` per used second.
+    """Stored ``(service_code, second, rows, first, first_rows, most_rows)`` per used second.
 
     ``first`` is the earliest departure of the second, with the lowest trip_id; ``first_rows``
     counts the rows that carry exactly this departure and trip, ``most_rows`` the rows of the
@@ -24,7 +24,7 @@ def departure_slots(trips: DataFrame, depart: str = "scheduled_depart") -> DataF
         F.unix_timestamp(depart).alias("second"),
         F.struct(depart, "trip_id").alias("first"),
     ).agg(F.count(F.lit(1)).alias("first_rows"))
-    return settle(
+    return store(
         departures.groupBy("service_code", "second").agg(
             F.sum("first_rows").alias("rows"),
             F.max("first_rows").alias("most_rows"),
@@ -74,9 +74,11 @@ def add_headway(
         F.col("first.trip_id").alias("trip_id"), "gap_min", "first_rows",
     )
     keys = ["service_code", depart, "trip_id"]
-    copies, most = slots.agg(F.max("first_rows"), F.max("most_rows")).first()
+    used, copies, most = slots.agg(
+        F.count(F.lit(1)), F.max("first_rows"), F.max("most_rows")
+    ).first()
     placed = trips.withColumn("_from", F.spark_partition_id())
-    if is_small(slots, BROADCAST_ROWS):
+    if used <= BROADCAST_ROWS:
         matched = placed.join(F.broadcast(openers), keys, "left")
     elif (most or 0) > HEAVY_ROWS:
         matched = salted_join(placed, openers, keys, "left")

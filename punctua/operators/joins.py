@@ -16,7 +16,8 @@ HEAVY_ROWS = 1_000_000
 
 def _spread(frame: DataFrame, salts: int) -> Column:
     """Salt that also separates equal rows as long as they come from different partitions."""
-    return F.pmod(F.xxhash64(*frame.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    by_value = F.pmod(F.xxhash64(*frame.columns), F.lit(salts))
+    return F.pmod(by_value + F.spark_partition_id(), F.lit(salts)).cast("int")
 
 
 def salted_join(

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows up to which a table of a few short columns is broadcast or handled by one task.
+# Rows up to which a table of a few short columns is handled by one task.
 SMALL_ROWS = 1_000_000
 # Rows up to which a lookup table is broadcast to every executor.
 BROADCAST_ROWS = 200_000
@@ -32,11 +32,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(frame: DataFrame) -> DataFrame:
-    """Compute ``frame`` once and keep it in the shared folder, where it survives lost executors."""
+    """Compute a small result once and keep it in the shared folder.
+
+    It survives lost executors, and later plans start from it.
+    """
     shared_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
 
 
-def is_small(settled: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether a settled frame has at most ``rows`` rows."""
-    return settled.limit(rows + 1).count() <= rows
+def store(frame: DataFrame) -> DataFrame:
+    """Like :func:`settle` for results that grow with the data: a Parquet table.
+
+    Later plans read only the columns they need and see its true size.
+    """
+    spark = frame.sparkSession
+    path = fresh_path(spark, "stored")
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def is_small(kept: DataFrame, rows: int = SMALL_ROWS) -> bool:
+    """Whether a settled or stored frame has at most ``rows`` rows."""
+    return kept.limit(rows + 1).count() <= rows
