@@ -82,7 +82,9 @@ def lenient_timestamp(text: Column) -> Column:
 
 def padded_key(prefix: str, width: int, number: Column) -> Column:
     """Prefix and number, zero-padded to ``width``; longer numbers keep all digits."""
-    return F.format_string(f"{prefix}%0{width}d", number)
+    digits = number.cast("string")
+    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+    return F.concat(F.lit(prefix), padded)
 
 
 def corrected_skewness(value: Column) -> Column:

@@ -6,11 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.operators.joins import HEAVY_ROWS, salted_join
-from punctua.operators.settle import BROADCAST_ROWS, store
+from punctua.operators.settle import BROADCAST_ROWS, SMALL_ROWS, is_small, store
 
 SECONDS_PER_DAY = 86_400
 
 
+def used_seconds(trips: DataFrame, depart: str = "scheduled_depart") -> DataFrame:
+    """Stored ``(service_code, second, rows)``: departures per route and second."""
+    known = trips.where(F.col(depart).isNotNull() & F.col("service_code").isNotNull())
+    seconds = known.groupBy("service_code", F.unix_timestamp(depart).alias("second"))
+    return store(seconds.agg(F.count(F.lit(1)).alias("rows")))
+
+
 def departure_slots(trips: DataFrame, depart: str = "scheduled_depart") -> DataFrame:
     """Stored ``(service_code, second, rows, first, first_rows, most_rows)`` per used second.
 
@@ -33,18 +40,22 @@ def departure_slots(trips: DataFrame, depart: str = "scheduled_depart") -> DataF
     )
 
 
-def slot_gaps(slots: DataFrame) -> DataFrame:
+def slot_gaps(slots: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add ``gap_min``, the minutes since the previous used second of the route.
 
-    Windows run over used seconds instead of trips: within a route and day (at most 86,400
-    rows), then over the last seconds of the route's days. A route that holds most of the
-    trips still gives bounded tasks.
+    Few slots take one window per route. Beyond that, windows run within a route and day (at
+    most 86,400 rows) and over the last seconds of the route's days, so a route that holds
+    most of the trips still gives bounded tasks.
     """
+    by_route = Window.partitionBy("service_code")
+    if is_small(slots, small_rows):
+        previous = F.lag("second").over(by_route.orderBy("second"))
+        return slots.withColumn("gap_min", (F.col("second") - previous) / F.lit(60.0))
     dated = slots.withColumn("_day", F.floor(F.col("second") / SECONDS_PER_DAY))
-    over_days = Window.partitionBy("service_code").orderBy("_day")
     days = (
         dated.groupBy("service_code", "_day").agg(F.max("second").alias("_last"))
-        .select("service_code", "_day", F.lag("_last").over(over_days).alias("_last_before"))
+        .select("service_code", "_day",
+                F.lag("_last").over(by_route.orderBy("_day")).alias("_last_before"))
     )
     in_day = Window.partitionBy("service_code", "_day").orderBy("second")
     within = dated.withColumn("_before", F.lag("second").over(in_day))
@@ -57,19 +68,35 @@ def slot_gaps(slots: DataFrame) -> DataFrame:
 
 
 def add_headway(
-    trips: DataFrame, depart: str = "scheduled_depart", name: str = "headway_min"
+    trips: DataFrame,
+    depart: str = "scheduled_depart",
+    name: str = "headway_min",
+    rows: int | None = None,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Minutes since the previous departure of the route, ordered by departure and trip_id.
 
-    Gaps are in whole seconds, so the first departure of a second carries the gap and the
-    others of that second 0; the first departure of a route is null. Where rows repeat the
-    trip and departure, one of them carries the gap.
+    Gaps are in whole seconds. The first departure of a route is null. Few trips (``rows``,
+    counted when not given) take one window per route; otherwise see :func:`_spread_headway`.
+    """
+    if (trips.count() if rows is None else rows) > small_rows:
+        return _spread_headway(trips, depart, name, small_rows)
+    order = Window.partitionBy("service_code").orderBy(depart, "trip_id")
+    previous = F.lag(depart).over(order)
+    gap = (F.unix_timestamp(depart) - F.unix_timestamp(previous)) / F.lit(60.0)
+    return trips.withColumn(name, F.when(F.col("service_code").isNotNull(), gap))
+
 
-    Rows meet their gap by trip, which spreads evenly whatever the routes are; few gaps are
-    broadcast, and trips with very many copies are salted.
+def _spread_headway(trips: DataFrame, depart: str, name: str, small_rows: int) -> DataFrame:
+    """Headway without a window over all trips of a route.
+
+    The first departure of a second carries the gap to the last used second and the others of
+    that second 0. Rows meet their gap by trip, which spreads evenly whatever the routes are;
+    few gaps are broadcast, and trips with very many copies are salted. Where rows repeat the
+    trip and departure, one of them carries the gap.
     """
     slots = departure_slots(trips, depart)
-    openers = slot_gaps(slots).select(
+    openers = slot_gaps(slots, small_rows).select(
         "service_code", F.col(f"first.{depart}").alias(depart),
         F.col("first.trip_id").alias("trip_id"), "gap_min", "first_rows",
     )
@@ -80,7 +107,7 @@ def add_headway(
     placed = trips.withColumn("_from", F.spark_partition_id())
     if used <= BROADCAST_ROWS:
         matched = placed.join(F.broadcast(openers), keys, "left")
-    elif (most or 0) > HEAVY_ROWS:
+    elif most > HEAVY_ROWS:
         matched = salted_join(placed, openers, keys, "left")
     else:
         matched = placed.join(openers, keys, "left")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from punctua import config
 from punctua.functions.columns import target_state
-from punctua.operators.headway import departure_slots, slot_gaps
+from punctua.operators.headway import slot_gaps, used_seconds
 from punctua.operators.prepare import route_duration_stats, route_on_time
+from punctua.operators.settle import SMALL_ROWS
 from punctua.sources.tables import register_views, run_sql
 
 ROUTE_DELAYS = """
@@ -177,7 +178,9 @@ def best_by(results: DataFrame, name: str = "model", score: str = "f1") -> DataF
 
 
 def headway_regularity(
-    trips: DataFrame, limit: float = config.Targets.headway_ratio
+    trips: DataFrame,
+    limit: float = config.Targets.headway_ratio,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Per route: deviation of the actual headway over the mean scheduled headway.
 
@@ -187,7 +190,7 @@ def headway_regularity(
 
     def moments(depart: str) -> DataFrame:
         gap = F.coalesce("gap_min", F.lit(0.0))
-        return slot_gaps(departure_slots(trips, depart)).groupBy("service_code").agg(
+        return slot_gaps(used_seconds(trips, depart), small_rows).groupBy("service_code").agg(
             (F.sum("rows") - 1).alias("n"), F.sum(gap).alias("total"),
             F.sum(gap * gap).alias("squares"),
         )

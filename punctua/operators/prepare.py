@@ -132,7 +132,8 @@ def build_trips(
     """Cleaned and enriched trips with the stored columns."""
     cleaned = clean_trips(trips)
     features = settle(route_features(cleaned, disruptions, train_only))
-    with_gaps = add_headway(add_weather_code(cleaned))
+    rows = features.agg(F.sum("trip_count")).first()[0] or 0
+    with_gaps = add_headway(add_weather_code(cleaned), rows=rows)
     return add_route_features(with_gaps, features).select(*config.TRIP_COLUMNS)
 
 

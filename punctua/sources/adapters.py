@@ -79,7 +79,10 @@ def pings(spark: SparkSession, folder: str) -> DataFrame:
     signal = {"A": "Good", "N": "Fair", "R": "Poor"}
     names = F.create_map(*[F.lit(part) for pair in signal.items() for part in pair])
     return _table(spark, folder, "lineitem").select(
-        F.format_string("L%d-%d", "l_orderkey", "l_linenumber").alias("location_id"),
+        F.concat(
+            F.lit("L"), F.col("l_orderkey").cast("string"), F.lit("-"),
+            F.col("l_linenumber").cast("string"),
+        ).alias("location_id"),
         padded_key("T", 7, F.col("l_orderkey")).alias("trip_id"),
         F.col("l_shipdate").alias("timestamp"),
         (51.3 + F.col("l_discount") * 4).alias("latitude"),
