@@ -14,6 +14,7 @@ from punctua.operators.ordering import cut_points
 from punctua.operators.settle import SMALL_ROWS, settle
 
 ROWS_PER_TASK = 10_000
+ROWS_PER_SHORT_TASK = 40_000
 MAX_ROWS_PER_TASK = 2_000_000
 
 
@@ -32,6 +33,14 @@ def spread_for_fitting(frame: DataFrame) -> DataFrame:
     return frame.repartition(int(max(1, wanted, -(-rows // MAX_ROWS_PER_TASK))))
 
 
+def for_short_steps(frame: DataFrame, rows: int) -> DataFrame:
+    """Fewer partitions of a small frame for fits that run one short job per step.
+
+    A frame whose partitions already hold many rows is left as it is.
+    """
+    return frame.coalesce(max(1, -(-rows // ROWS_PER_SHORT_TASK)))
+
+
 def assembler(output: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=config.FEATURES, outputCol=output, handleInvalid="skip")
 
