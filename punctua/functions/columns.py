@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MICROS_PER_MINUTE = 6e7
 
@@ -16,6 +19,16 @@ def clamp(value: Column, low: float, high: float) -> Column:
     return F.when(value < F.lit(low), F.lit(low)).when(above, F.lit(high)).otherwise(value)
 
 
+def is_complete(frame: DataFrame, columns: Sequence[str]) -> Column:
+    """No null and no NaN in ``columns``; unlike ``dropna`` the null checks reach the file scan."""
+    known = [F.col(name).isNotNull() for name in columns]
+    numbers = [
+        ~F.isnan(name) for name in columns
+        if isinstance(frame.schema[name].dataType, (T.DoubleType, T.FloatType))
+    ]
+    return reduce(and_, [*known, *numbers])
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     """Signed fractional minutes from ``start`` to ``end``."""
     return F.timestamp_diff("MICROSECOND", start, end) / F.lit(MICROS_PER_MINUTE)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua import config
+from punctua.functions.columns import is_complete
 from punctua.operators.joins import join_lookup
 from punctua.operators.ordering import cut_points
 from punctua.operators.settle import SMALL_ROWS, settle
@@ -22,7 +23,8 @@ def training_set(trips: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Features as doubles and the label, complete rows only; ``keep`` adds key columns."""
     features = [F.col(name).cast("double").alias(name) for name in config.FEATURES]
     label = F.col(config.LABEL).cast("double").alias(config.LABEL)
-    return trips.select(*keep, *features, label).dropna(subset=[*config.FEATURES, config.LABEL])
+    table = trips.select(*keep, *features, label)
+    return table.where(is_complete(table, [*config.FEATURES, config.LABEL]))
 
 
 def spread_for_fitting(frame: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def join_lookup(
 def heavy_keys(
     facts: DataFrame, key: str, share: float = HEAVY_SHARE, at_least: int = HEAVY_ROWS
 ) -> DataFrame | None:
-    """Keys that hold more than ``share`` of the rows, or None.
+    """Keys that hold more than ``share`` of the rows, or None; no row may lack its key.
 
     There can be fewer than 1/share such keys, so the result is always small.
     """
@@ -57,7 +57,7 @@ def heavy_keys(
     bar = max(rows * share, at_least)
     if rows <= bar:
         return None
-    keys = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    keys = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     heavy = settle(keys.where(F.col("_rows") > bar).select(key))
     return None if heavy.isEmpty() else heavy
 
@@ -70,20 +70,25 @@ def join_skewed(
     share: float = HEAVY_SHARE,
     at_least: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Inner or left join of two large tables whose heavy keys are salted and joined apart."""
-    if how == "left":
-        keyless = facts.where(F.col(key).isNull())
-        keyed = join_skewed(
-            facts.where(F.col(key).isNotNull()), other, key, "left_keyed", share, at_least
-        )
-        return keyed.unionByName(keyless, allowMissingColumns=True)
-    kind = "left" if how == "left_keyed" else how
-    heavy = heavy_keys(facts, key, share, at_least)
+    """Inner or left join of two large tables whose heavy keys are salted and joined apart.
+
+    Rows without a key match nothing; a left join adds them without shuffling them.
+    """
+    keyed = facts.where(F.col(key).isNotNull())
+    joined = _join_keyed(keyed, other, key, how, heavy_keys(keyed, key, share, at_least))
+    if how != "left":
+        return joined
+    return joined.unionByName(facts.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
+def _join_keyed(
+    facts: DataFrame, other: DataFrame, key: str, how: str, heavy: DataFrame | None
+) -> DataFrame:
     if heavy is None:
-        return facts.join(other, key, kind)
+        return facts.join(other, key, how)
     few = F.broadcast(heavy)
-    light_part = facts.join(few, key, "left_anti").join(other, key, kind)
+    light_part = facts.join(few, key, "left_anti").join(other, key, how)
     heavy_part = salted_join(
-        facts.join(few, key, "left_semi"), other.join(few, key, "left_semi"), [key], kind
+        facts.join(few, key, "left_semi"), other.join(few, key, "left_semi"), [key], how
     )
     return light_part.unionByName(heavy_part)

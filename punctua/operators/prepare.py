@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from punctua import config
 from punctua.functions.columns import (
-    calendar, clamp, complement, encode, hour_in_range, load_share, minutes_between, off_schedule,
+    calendar, clamp, complement, encode, hour_in_range, is_complete, load_share, minutes_between,
+    off_schedule,
 )
 from punctua.operators.headway import add_headway
 from punctua.operators.joins import join_lookup, join_skewed
@@ -40,7 +41,7 @@ def clean_trips(trips: DataFrame) -> DataFrame:
     typed = trips.withColumns({
         name: F.col(name).try_cast(kind) for name, kind in kinds.items() if name in trips.columns
     })
-    return typed.dropna(subset=config.REQUIRED_TRIP_COLUMNS).withColumn(
+    return typed.where(is_complete(typed, config.REQUIRED_TRIP_COLUMNS)).withColumn(
         "delay_minutes_clipped", clamp(F.col("delay_minutes"), *config.STORED_DELAY_BOUNDS)
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from punctua import schemas
 from punctua.operators.prepare import build_trips, enrich_pings
+from punctua.operators.settle import store
 from punctua.sources.tables import read_csv, read_table, write_table
 
 
@@ -40,9 +41,13 @@ class Stored:
 
 
 def raw_csv(spark: SparkSession, folder: str) -> Raw:
-    """Raw tables from ``timetables.csv``, ``disruptions.csv`` and ``locations.csv``."""
+    """Raw tables from ``timetables.csv``, ``disruptions.csv`` and ``locations.csv``.
+
+    Trips are copied to Parquet first: later steps read them several times, mostly a few
+    columns, and text can only be read whole.
+    """
     return Raw(
-        read_csv(spark, f"{folder}/timetables.csv", schemas.TIMETABLES),
+        store(read_csv(spark, f"{folder}/timetables.csv", schemas.TIMETABLES)),
         read_csv(spark, f"{folder}/disruptions.csv", schemas.DISRUPTIONS),
         read_csv(spark, f"{folder}/locations.csv", schemas.LOCATIONS),
     )

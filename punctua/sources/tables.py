@@ -8,6 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from punctua.functions.columns import is_complete
+
 Parameters = Mapping[str, object]
 
 
@@ -26,7 +28,7 @@ def read_table(
     table = spark.read.parquet(path)
     if columns is not None:
         table = table.select(*columns)
-    return table.dropna() if drop_null else table
+    return table.where(is_complete(table, table.columns)) if drop_null else table
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:
@@ -40,8 +42,20 @@ def run_sql(spark: SparkSession, text: str, parameters: Parameters | None = None
     return spark.sql(text, args=dict(parameters or {}))
 
 
-def write_table(frame: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a Parquet table; ``partition_by`` gives later readers partition pruning."""
+def write_table(
+    frame: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+) -> None:
+    """Replace a Parquet table.
+
+    ``partition_by`` gives later readers partition pruning. ``cluster_by`` sorts the rows into
+    ranges of these columns, so that filters on them skip files and row groups; ranges also
+    split a value that holds many rows when a further column follows it.
+    """
+    if cluster_by:
+        frame = frame.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     frame.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

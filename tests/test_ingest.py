@@ -59,6 +59,15 @@ def test_partitioned_table_and_csv(spark, tmp_path):
     assert io.read_csv(spark, str(tmp_path / "csv"), frame.schema).count() == 2
 
 
+def test_clustered_table_pushes_filters(spark, tmp_path):
+    frame = spark.createDataFrame([(i % 5, i) for i in range(100)], "a int, b int")
+    io.write_table(frame, str(tmp_path / "t"), cluster_by=["a", "b"])
+    one = io.read_table(spark, str(tmp_path / "t"), drop_null=True).where("a = 3")
+    assert one.count() == 20
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(a,3)" in plan and "IsNotNull(b)" in plan
+
+
 def test_dashboard_choice(spark):
     rows = [(f"N{i}", "A", i % 24, float(i), i % 2, f"T{i}") for i in range(1, 40)]
     trips = spark.createDataFrame(

@@ -150,7 +150,7 @@ def test_skewed_join_equals_plain_join(spark, how):
     )
     found = joins.join_skewed(left, right, "key", how, share=0.1, at_least=10)
     assert rows_of(found) == rows_of(left.join(right, "key", how))
-    heavy = joins.heavy_keys(left, "key", 0.1, 10)
+    heavy = joins.heavy_keys(left.dropna(), "key", 0.1, 10)
     assert [row.key for row in heavy.collect()] == ["hot"]
 
 
