@@ -62,7 +62,7 @@ def timed(work: Callable[[], object]) -> float:
 
 def fit_times(spark: SparkSession) -> dict[str, float]:
     """Seconds to fit each full-size model on 80 % of the trips."""
-    trips = features.training_set(W._model_trips(spark, FOLDER), keep=["trip_id"])
+    trips = features.training_set(W.model_trips(spark, FOLDER), keep=["trip_id"])
     train = features.stratified_split(trips).where(~F.col("is_test"))
     train = features.add_class_weights(features.spread_for_fitting(train))
     train = train.persist(StorageLevel.MEMORY_AND_DISK)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.operators.joins import HEAVY_ROWS, salted_join
@@ -19,25 +19,16 @@ def used_seconds(trips: DataFrame, depart: str = "scheduled_depart") -> DataFram
 
 
 def departure_slots(trips: DataFrame, depart: str = "scheduled_depart") -> DataFrame:
-    """Stored ``(service_code, second, rows, first, first_rows, most_rows)`` per used second.
+    """Stored ``(service_code, second, rows, first)``: departures per route and second.
 
-    ``first`` is the earliest departure of the second, with the lowest trip_id; ``first_rows``
-    counts the rows that carry exactly this departure and trip, ``most_rows`` the rows of the
-    most repeated one. Rows are folded before each shuffle.
+    ``first`` is the earliest departure of the second, with the lowest trip_id. Rows are folded
+    before the shuffle.
     """
     known = trips.where(F.col(depart).isNotNull() & F.col("service_code").isNotNull())
-    departures = known.groupBy(
-        "service_code",
-        F.unix_timestamp(depart).alias("second"),
-        F.struct(depart, "trip_id").alias("first"),
-    ).agg(F.count(F.lit(1)).alias("first_rows"))
-    return store(
-        departures.groupBy("service_code", "second").agg(
-            F.sum("first_rows").alias("rows"),
-            F.max("first_rows").alias("most_rows"),
-            F.min(F.struct("first", "first_rows")).alias("_least"),
-        ).select("service_code", "second", "rows", "most_rows", "_least.first", "_least.first_rows")
-    )
+    seconds = known.groupBy("service_code", F.unix_timestamp(depart).alias("second"))
+    return store(seconds.agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.struct(depart, "trip_id")).alias("first")
+    ))
 
 
 def slot_gaps(slots: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
@@ -76,8 +67,9 @@ def add_headway(
 ) -> DataFrame:
     """Minutes since the previous departure of the route, ordered by departure and trip_id.
 
-    Gaps are in whole seconds. The first departure of a route is null. Few trips (``rows``,
-    counted when not given) take one window per route; otherwise see :func:`_spread_headway`.
+    Gaps are in whole seconds. The first departure of a route is null. Every trip needs its
+    trip_id, as after cleaning. Few trips (``rows``, counted when not given) take one window
+    per route; otherwise see :func:`_spread_headway`.
     """
     if (trips.count() if rows is None else rows) > small_rows:
         return _spread_headway(trips, depart, name, small_rows)
@@ -91,52 +83,49 @@ def _spread_headway(trips: DataFrame, depart: str, name: str, small_rows: int) -
     """Headway without a window over all trips of a route.
 
     The first departure of a second carries the gap to the last used second and the others of
-    that second 0. Rows meet their gap by trip, which spreads evenly whatever the routes are;
-    few gaps are broadcast, and trips with very many copies are salted. Where rows repeat the
-    trip and departure, one of them carries the gap.
+    that second 0. Rows meet their gap by trip, which spreads evenly whatever the routes are:
+    few gaps are broadcast, and the join is salted when a second holds so many rows that they
+    may be copies of one trip. Of several rows with the first trip and departure, one carries
+    the gap.
     """
     slots = departure_slots(trips, depart)
     openers = slot_gaps(slots, small_rows).select(
         "service_code", F.col(f"first.{depart}").alias(depart),
-        F.col("first.trip_id").alias("trip_id"), "gap_min", "first_rows",
+        F.col("first.trip_id").alias("trip_id"), "gap_min", F.lit(True).alias("_opens"),
     )
     keys = ["service_code", depart, "trip_id"]
-    used, copies, most = slots.agg(
-        F.count(F.lit(1)), F.max("first_rows"), F.max("most_rows")
-    ).first()
-    placed = trips.withColumn("_from", F.spark_partition_id())
-    if used <= BROADCAST_ROWS:
-        matched = placed.join(F.broadcast(openers), keys, "left")
-    elif most > HEAVY_ROWS:
-        matched = salted_join(placed, openers, keys, "left")
-    else:
-        matched = placed.join(openers, keys, "left")
-    opens = F.col("first_rows").isNotNull()
-    if (copies or 0) > 1:
-        matched = _mark_one_copy(matched, keys)
-        opens = opens & F.col("_leads")
-    return matched.withColumn(name, _gap(depart, opens)).select(*trips.columns, name)
-
-
-def _gap(depart: str, opens: Column) -> Column:
-    unknown = F.col(depart).isNull() | F.col("service_code").isNull()
-    return F.when(unknown, F.lit(None)).when(opens, F.col("gap_min")).otherwise(F.lit(0.0))
-
-
-def _mark_one_copy(matched: DataFrame, keys: list[str]) -> DataFrame:
+    used, fullest = slots.agg(F.count(F.lit(1)), F.max("rows")).first()
+
+    def match(rows: DataFrame, how: str) -> DataFrame:
+        if used <= BROADCAST_ROWS:
+            return rows.join(F.broadcast(openers), keys, how)
+        if fullest > HEAVY_ROWS:
+            return salted_join(rows, openers, keys, how)
+        return rows.join(openers, keys, how)
+
+    wanted = [*trips.columns, name]
+    placed = match(trips.withColumn("_from", F.spark_partition_id()), "left")
+    zero = F.when(F.col(depart).isNotNull() & F.col("service_code").isNotNull(), F.lit(0.0))
+    own_gap = F.when(F.col("_opens"), F.col("gap_min")).otherwise(zero)
+    if match(trips.select(*keys), "inner").count() == used:
+        return placed.withColumn(name, own_gap).select(*wanted)
+    others = placed.where(F.col("_opens").isNull()).withColumn(name, zero)
+    copies = _one_copy_leads(placed.where("_opens"), keys).withColumn(
+        name, F.when(F.col("_leads"), F.col("gap_min")).otherwise(F.lit(0.0))
+    )
+    return others.select(*wanted).unionByName(copies.select(*wanted))
+
+
+def _one_copy_leads(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Mark one row of each group of copies by ``_leads``.
 
     Copies are first numbered per input partition; only the first of each partition takes
     part in the second numbering, so no task holds all copies of a trip.
     """
-    copied = F.coalesce("first_rows", F.lit(1)) > 1
-    lane = Window.partitionBy(*keys, "_from").orderBy("first_rows")
+    lane = Window.partitionBy(*keys, "_from").orderBy("_opens")
     final = Window.partitionBy(*keys, "_lane").orderBy("_from")
-    marked = (
-        matched.where(copied)
-        .withColumn("_turn", F.row_number().over(lane))
+    return (
+        rows.withColumn("_turn", F.row_number().over(lane))
         .withColumn("_lane", F.when(F.col("_turn") == 1, -1).otherwise(F.col("_from")))
         .withColumn("_leads", (F.col("_turn") == 1) & (F.row_number().over(final) == 1))
-        .drop("_turn", "_lane")
     )
-    return matched.where(~copied).withColumn("_leads", F.lit(True)).unionByName(marked)

@@ -511,10 +511,10 @@ def training_rows(spark, folder):
 
 @query
 def lr_grid_cv(spark, folder):
-    return modelling.select_logistic(_model_trips(spark, folder), iterations=20)
+    return modelling.select_logistic(model_trips(spark, folder), iterations=20)
 
 
-def _model_trips(spark, folder):
+def model_trips(spark, folder):
     """Stored trips labelled with the wide tolerance."""
     label = C.off_schedule(F.col("delay_minutes"), adapters.WIDE_TOLERANCE)
     return stored_trips(spark, folder).withColumn("is_delayed", label)
@@ -522,12 +522,12 @@ def _model_trips(spark, folder):
 
 @query
 def model_comparison(spark, folder):
-    return modelling.compare_models(_model_trips(spark, folder), QUICK, folds=2).table
+    return modelling.compare_models(model_trips(spark, folder), QUICK, folds=2).table
 
 
 def _fitted_forest(spark, folder):
     comparison = modelling.compare_models(
-        _model_trips(spark, folder), QUICK, names=["Random Forest"], cross_validation=False
+        model_trips(spark, folder), QUICK, names=["Random Forest"], cross_validation=False
     )
     return comparison.fitted["Random Forest"].model
 
