@@ -2,12 +2,14 @@
 
 from punctua.llm.bpe import op2_byte_bpe
 from punctua.llm.minhash import op4_near_duplicates
+from punctua.llm.pii import op10_pii
 from punctua.llm.postings import op9_decontamination
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_near_duplicates": op4_near_duplicates,
     "op9_decontamination": op9_decontamination,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {}
