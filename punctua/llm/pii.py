@@ -297,6 +297,10 @@ def find_pii(docs: DataFrame) -> DataFrame:
     return narrow.mapInArrow(run, f"doc_id long, spans {SPANS}")
 
 
+def _equals(value: str) -> Callable:
+    return lambda item: item == value
+
+
 def op10_pii(spark, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -308,7 +312,7 @@ def op10_pii(spark, sf_dir: str) -> DataFrame:
 
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        *[F.size(F.filter(base["kind"], _equals(kind))).cast("long").alias(f"n_{kind}")
           for kind in KINDS],
         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"),
     )

@@ -1,13 +1,17 @@
 """Registered queries of the training-data operators."""
 
 from punctua.llm.bpe import op2_byte_bpe
+from punctua.llm.codes import op6_token_codes
 from punctua.llm.minhash import op4_near_duplicates
 from punctua.llm.pii import op10_pii
 from punctua.llm.postings import op9_decontamination
+from punctua.llm.shards import op3_sharding
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_sharding": op3_sharding,
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_token_codes": op6_token_codes,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
 }
