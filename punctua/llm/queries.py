@@ -4,6 +4,7 @@ from punctua.llm.bpe import op2_byte_bpe
 from punctua.llm.codes import op6_token_codes
 from punctua.llm.minhash import op4_near_duplicates
 from punctua.llm.pii import op10_pii
+from punctua.llm.pivots import op7_near_vectors
 from punctua.llm.postings import op9_decontamination
 from punctua.llm.shards import op3_sharding
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_token_codes": op6_token_codes,
+    "op7_near_vectors": op7_near_vectors,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
 }
