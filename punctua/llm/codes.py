@@ -13,10 +13,12 @@ documents of one id stand next to each other. A null text is an empty one.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +88,8 @@ class Codes:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
+    # Tasks already use all cores; threads of the library would only contend.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -94,8 +98,8 @@ def tokenizer(path: str):
 class WordCache:
     """Ids of a text from the ids of its words, each tokenized once while it is kept.
 
-    The tokenizer cuts at white space and looks at nothing across it, so a text's ids are those
-    of its words in order.
+    The tokenizer cuts at white space, and between letters and marks, and looks at nothing across
+    these cuts, so a text's ids are those of its pieces in order.
     """
 
     LIMIT = 300_000
@@ -113,10 +117,12 @@ class WordCache:
             found[i] = self.aged.get(words[i])
             if found[i] is None:
                 unknown.append(i)
-        coded = tokenizer(self.path).encode_batch(
-            [words[i] for i in unknown], add_special_tokens=False)
-        for i, code in zip(unknown, coded):
-            found[i] = np.array(code.ids, "<u4").tobytes()
+        coded = [code.ids for code in tokenizer(self.path).encode_batch_fast(
+            [words[i] for i in unknown], add_special_tokens=False)]
+        packed = np.fromiter(chain.from_iterable(coded), "<u4").tobytes()
+        stops = [4 * n for n in accumulate(map(len, coded))]
+        for i, begin, end in zip(unknown, [0, *stops], stops):
+            found[i] = packed[begin:end]
         for i in missing:
             if len(self.fresh) >= self.LIMIT // 2:
                 self.aged, self.fresh = self.fresh, {}
@@ -127,9 +133,15 @@ class WordCache:
     def encode(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the bounds of each text in them."""
         data, bounds = W.text_bytes(column)
-        found = W.split_words(column, W.NOT_SPACE)
-        spans = pa.array(data[_inside(found, len(data))])
-        sizes = found.stops - found.starts
+        starts, ends = _pieces(data, bounds)
+        sizes = ends - starts
+        spans = data[W.NOT_SPACE[data]]
+        # The vocabulary has no case. ASCII words are lowered here to be met again, unless they
+        # may hold a special token; elsewhere lowering before composition could differ.
+        stops = np.cumsum(sizes)
+        odd = np.concatenate(([0], np.cumsum((spans >= 128) | (spans == 60))))
+        plain = odd[stops] == odd[stops - sizes]
+        spans = pa.array(np.where(np.repeat(plain, sizes), W.LOWER[spans], spans))
         offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         words = pa.StringArray.from_buffers(
             len(sizes), pa.py_buffer(offsets), spans.buffers()[1]
@@ -141,16 +153,36 @@ class WordCache:
         heads, inner = (np.cumsum(counts) - counts)[index], counts[index]
         stops = np.cumsum(inner)
         ids = known[np.repeat(heads - (stops - inner), inner) + np.arange(inner.sum())]
-        upto = np.concatenate(([0], stops))[found.bounds]
+        upto = np.concatenate(([0], stops))[np.searchsorted(starts, bounds)]
         ids = np.insert(ids, upto[1:], end)
         return ids, upto + np.arange(len(upto))
 
 
-def _inside(found: W.Words, size: int) -> np.ndarray:
-    change = np.zeros(size + 1, np.int8)
-    change[found.starts] += 1
-    change[found.stops] -= 1
-    return np.cumsum(change[:-1], dtype=np.int8) > 0
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+# Marks that compose with nothing and are part of no special token.
+_MARK = np.zeros(256, bool)
+_MARK[np.frombuffer(b",.!;:?#*$%&()\"", np.uint8)] = True
+
+
+def _pieces(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans between white space, cut where a letter (ASCII, or U+00C0 to U+00FF) meets a mark.
+
+    The tokenizer cuts there too, whatever surrounds them.
+    """
+    starts, stops = W.word_spans(data, bounds, W.NOT_SPACE)
+    high = np.zeros(len(data), bool)  # the second byte of such a letter
+    high[1:] = (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    ends = _LETTER[data] | high
+    begins = _LETTER[data]
+    begins[:-1] |= high[1:]
+    marks = _MARK[data]
+    cuts = np.zeros(len(data) + 1, bool)
+    cuts[1:-1] = (ends[:-1] & marks[1:]) | (marks[:-1] & begins[1:])
+    opens, closes = cuts.copy(), cuts
+    opens[starts] = True
+    closes[stops] = True
+    return np.flatnonzero(opens), np.flatnonzero(closes)
 
 
 def write(docs: DataFrame, path: str, vocabulary: str, end: int = END) -> None:

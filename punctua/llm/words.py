@@ -88,6 +88,14 @@ def split_words(column: pa.Array, inside: np.ndarray) -> Words:
     """Maximal runs of ``inside`` bytes, A-Z lowered, per row of a string column."""
     data, bounds = text_bytes(column)
     data = LOWER[data]
+    starts, stops = word_spans(data, bounds, inside)
+    return Words(starts, stops, hash_spans(data, starts, stops), np.searchsorted(starts, bounds))
+
+
+def word_spans(
+    data: np.ndarray, bounds: np.ndarray, inside: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of ``inside`` bytes that cross no bound."""
     size = len(data)
     mask = inside[data]
     opens = mask.copy()
@@ -99,8 +107,7 @@ def split_words(column: pa.Array, inside: np.ndarray) -> Words:
     opens[heads] = mask[heads]
     inner = heads[heads > 0]
     closes[inner] = mask[inner - 1]
-    starts, stops = np.flatnonzero(opens), np.flatnonzero(closes)
-    return Words(starts, stops, hash_spans(data, starts, stops), np.searchsorted(starts, bounds))
+    return np.flatnonzero(opens), np.flatnonzero(closes)
 
 
 def _powers(base: int, size: int) -> np.ndarray:
