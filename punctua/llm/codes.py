@@ -102,7 +102,7 @@ class WordCache:
     these cuts, so a text's ids are those of its pieces in order.
     """
 
-    LIMIT = 300_000
+    LIMIT = 800_000
 
     def __init__(self, path: str):
         self.path = path
