@@ -6,12 +6,14 @@ from punctua.llm.minhash import op4_near_duplicates
 from punctua.llm.pii import op10_pii
 from punctua.llm.pivots import op7_near_vectors
 from punctua.llm.postings import op9_decontamination
+from punctua.llm.quality import op5_quality
 from punctua.llm.shards import op3_sharding
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_sharding": op3_sharding,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_quality": op5_quality,
     "op6_token_codes": op6_token_codes,
     "op7_near_vectors": op7_near_vectors,
     "op9_decontamination": op9_decontamination,
