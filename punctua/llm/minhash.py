@@ -76,8 +76,11 @@ def least_agreements(threshold: float, miss: float) -> list[int]:
     return needed
 
 
-def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """Per document: row, doc_id, n, key1, key2 (of its set) and band keys."""
+def sketches(docs: DataFrame, shingle: int, row_id: str | None = None) -> DataFrame:
+    """Per document: row, doc_id, n, key1, key2 (of its set) and band keys.
+
+    ``row`` is the unique column ``row_id``, or a number of its own once this is stored.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
@@ -98,7 +101,8 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 stops[1:] = np.cumsum(sizes > 0) * BANDS
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(row, row + len(sizes))),
+                        part.column("row") if row_id else pa.array(
+                            np.arange(row, row + len(sizes))),
                         part.column("doc_id"),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
@@ -110,7 +114,8 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 )
                 row += len(sizes)
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = [F.col(row_id).alias("row")] if row_id else []
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *own)
     return narrow.mapInArrow(
         run, "row long, doc_id long, n long, key1 long, key2 long, bands array<long>"
     )
@@ -250,13 +255,14 @@ def linked(sets: list[np.ndarray], roots: np.ndarray, sides: np.ndarray, same_ro
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
-                    miss: float = MISS) -> DataFrame:
+                    miss: float = MISS, row_id: str | None = None) -> DataFrame:
     """One row per document: row, doc_id, n_shingles, component_id, kept_row.
 
     ``component_id`` is the smallest doc_id of the documents it hangs together with, itself
-    included; ``kept_row`` marks one row of each such component. ``docs`` needs doc_id and text.
+    included; ``kept_row`` marks one row of each such component. ``docs`` needs doc_id and text;
+    ``row_id`` may name a column of unique longs to tell its rows apart.
     """
-    sketch = keep(sketches(docs, shingle), "sketches")
+    sketch = keep(sketches(docs, shingle, row_id), "sketches")
     full = sketch.where("n > 0")
     classes = keep(
         full.groupBy("key1", "key2").agg(
