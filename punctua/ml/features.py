@@ -16,6 +16,8 @@ from punctua.operators.settle import SMALL_ROWS, settle
 
 ROWS_PER_TASK = 10_000
 ROWS_PER_SHORT_TASK = 40_000
+# More tasks than this only when a task would hold more than the largest number of rows.
+FEW_TASKS = 64
 MAX_ROWS_PER_TASK = 2_000_000
 
 
@@ -28,11 +30,15 @@ def training_set(trips: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def spread_for_fitting(frame: DataFrame) -> DataFrame:
-    """Round-robin partitions for many passes over ``frame``: enough to use the cores, none tiny."""
+    """Partitions by hashed content for many passes over ``frame``.
+
+    Samples of trees follow the partitions, so their number comes from the rows alone: the same
+    rows and seed give the same model on every cluster.
+    """
     rows = frame.count()
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    wanted = min(cores, -(-rows // ROWS_PER_TASK))
-    return frame.repartition(int(max(1, wanted, -(-rows // MAX_ROWS_PER_TASK))))
+    wanted = max(1, min(FEW_TASKS, -(-rows // ROWS_PER_TASK)), -(-rows // MAX_ROWS_PER_TASK))
+    columns = sorted(frame.columns)
+    return frame.repartition(int(wanted), *columns).sortWithinPartitions(*columns)
 
 
 def for_short_steps(frame: DataFrame, rows: int) -> DataFrame:
@@ -63,7 +69,7 @@ def class_weights(frame: DataFrame, label: str = config.LABEL) -> DataFrame:
 
 
 def add_class_weights(frame: DataFrame, label: str = config.LABEL) -> DataFrame:
-    return join_lookup(frame, class_weights(frame, label), [label])
+    return join_lookup(frame, class_weights(frame, label), [label], null_keys=True)
 
 
 def shuffle_order(key: str, seed: int = config.SEED) -> Column:
@@ -76,7 +82,9 @@ def _bands(
 ) -> DataFrame:
     """Add ``_band``: how many of the cut points of its class lie before the row."""
     cuts = settle(cut_points(frame, label, order, shares, small_rows))
-    placed = join_lookup(frame.withColumn("_order", order), cuts, [label], "inner")
+    placed = join_lookup(
+        frame.withColumn("_order", order), cuts, [label], "inner", null_keys=True
+    )
     passed = F.filter("_cuts", lambda cut: cut.isNull() | (F.col("_order") > cut))
     return placed.withColumn("_band", F.size(passed)).drop("_order", "_cuts")
 
@@ -91,6 +99,8 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``: exactly the rounded share of each class, repeatable by key and seed.
 
+    Rows without a label are a class of their own.
+
     Only the one cut point of each class is computed; marking rows needs no shuffle.
     """
     place = shuffle_order(key) if order is None else order

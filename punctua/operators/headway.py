@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctua.operators.joins import HEAVY_ROWS, salted_join
-from punctua.operators.settle import BROADCAST_ROWS, SMALL_ROWS, is_small, store
+from punctua.operators.joins import join_lookup
+from punctua.operators.settle import settle, store
 
 SECONDS_PER_DAY = 86_400
 
@@ -18,35 +18,17 @@ def used_seconds(trips: DataFrame, depart: str = "scheduled_depart") -> DataFram
     return store(seconds.agg(F.count(F.lit(1)).alias("rows")))
 
 
-def departure_slots(trips: DataFrame, depart: str = "scheduled_depart") -> DataFrame:
-    """Stored ``(service_code, second, rows, first)``: departures per route and second.
-
-    ``first`` is the earliest departure of the second, with the lowest trip_id. Rows are folded
-    before the shuffle.
-    """
-    known = trips.where(F.col(depart).isNotNull() & F.col("service_code").isNotNull())
-    seconds = known.groupBy("service_code", F.unix_timestamp(depart).alias("second"))
-    return store(seconds.agg(
-        F.count(F.lit(1)).alias("rows"), F.min(F.struct(depart, "trip_id")).alias("first")
-    ))
-
-
-def slot_gaps(slots: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def slot_gaps(slots: DataFrame) -> DataFrame:
     """Add ``gap_min``, the minutes since the previous used second of the route.
 
-    Few slots take one window per route. Beyond that, windows run within a route and day (at
-    most 86,400 rows) and over the last seconds of the route's days, so a route that holds
-    most of the trips still gives bounded tasks.
+    Windows run within a route and day (at most 86,400 rows) and over the last seconds of the
+    route's days, so a route that holds most of the trips still gives bounded tasks.
     """
-    by_route = Window.partitionBy("service_code")
-    if is_small(slots, small_rows):
-        previous = F.lag("second").over(by_route.orderBy("second"))
-        return slots.withColumn("gap_min", (F.col("second") - previous) / F.lit(60.0))
     dated = slots.withColumn("_day", F.floor(F.col("second") / SECONDS_PER_DAY))
     days = (
         dated.groupBy("service_code", "_day").agg(F.max("second").alias("_last"))
-        .select("service_code", "_day",
-                F.lag("_last").over(by_route.orderBy("_day")).alias("_last_before"))
+        .select("service_code", "_day", F.lag("_last").over(
+            Window.partitionBy("service_code").orderBy("_day")).alias("_last_before"))
     )
     in_day = Window.partitionBy("service_code", "_day").orderBy("second")
     within = dated.withColumn("_before", F.lag("second").over(in_day))
@@ -59,73 +41,34 @@ def slot_gaps(slots: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
 
 
 def add_headway(
-    trips: DataFrame,
-    depart: str = "scheduled_depart",
-    name: str = "headway_min",
-    rows: int | None = None,
-    small_rows: int = SMALL_ROWS,
+    trips: DataFrame, depart: str = "scheduled_depart", name: str = "headway_min"
 ) -> DataFrame:
     """Minutes since the previous departure of the route, ordered by departure and trip_id.
 
-    Gaps are in whole seconds. The first departure of a route is null. Every trip needs its
-    trip_id, as after cleaning. Few trips (``rows``, counted when not given) take one window
-    per route; otherwise see :func:`_spread_headway`.
+    Gaps are in whole seconds. The first departure of a route, and a trip without route or
+    departure, has none; a trip without trip_id comes before the others of its instant. There
+    is one plan for every size: one shuffle deals the trips into ordered ranges, which are stored;
+    each looks back on its own, and the first trips of a range take the last departure of the
+    ranges before, one small row for each range and route. Neither a route nor copies of a trip
+    are held by one task: the input position is the last part of the order.
     """
-    if (trips.count() if rows is None else rows) > small_rows:
-        return _spread_headway(trips, depart, name, small_rows)
-    order = Window.partitionBy("service_code").orderBy(depart, "trip_id")
-    previous = F.lag(depart).over(order)
-    gap = (F.unix_timestamp(depart) - F.unix_timestamp(previous)) / F.lit(60.0)
-    return trips.withColumn(name, F.when(F.col("service_code").isNotNull(), gap))
-
-
-def _spread_headway(trips: DataFrame, depart: str, name: str, small_rows: int) -> DataFrame:
-    """Headway without a window over all trips of a route.
-
-    The first departure of a second carries the gap to the last used second and the others of
-    that second 0. Rows meet their gap by trip, which spreads evenly whatever the routes are:
-    few gaps are broadcast, and the join is salted when a second holds so many rows that they
-    may be copies of one trip. Of several rows with the first trip and departure, one carries
-    the gap.
-    """
-    slots = departure_slots(trips, depart)
-    openers = slot_gaps(slots, small_rows).select(
-        "service_code", F.col(f"first.{depart}").alias(depart),
-        F.col("first.trip_id").alias("trip_id"), "gap_min", F.lit(True).alias("_opens"),
+    parts = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["service_code", depart, "trip_id", "_at"]
+    ranged = store(
+        trips.withColumn("_at", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
     )
-    keys = ["service_code", depart, "trip_id"]
-    used, fullest = slots.agg(F.count(F.lit(1)), F.max("rows")).first()
-
-    def match(rows: DataFrame, how: str) -> DataFrame:
-        if used <= BROADCAST_ROWS:
-            return rows.join(F.broadcast(openers), keys, how)
-        if fullest > HEAVY_ROWS:
-            return salted_join(rows, openers, keys, how)
-        return rows.join(openers, keys, how)
-
-    wanted = [*trips.columns, name]
-    placed = match(trips.withColumn("_from", F.spark_partition_id()), "left")
-    zero = F.when(F.col(depart).isNotNull() & F.col("service_code").isNotNull(), F.lit(0.0))
-    own_gap = F.when(F.col("_opens"), F.col("gap_min")).otherwise(zero)
-    if match(trips.select(*keys), "inner").count() == used:
-        return placed.withColumn(name, own_gap).select(*wanted)
-    others = placed.where(F.col("_opens").isNull()).withColumn(name, zero)
-    copies = _one_copy_leads(placed.where("_opens"), keys).withColumn(
-        name, F.when(F.col("_leads"), F.col("gap_min")).otherwise(F.lit(0.0))
+    before = Window.partitionBy("service_code").orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    earlier = (
+        ranged.groupBy("service_code", "_part").agg(F.max(depart).alias("_last"))
+        .withColumn("_earlier", F.max("_last").over(before)).drop("_last")
     )
-    return others.select(*wanted).unionByName(copies.select(*wanted))
-
-
-def _one_copy_leads(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Mark one row of each group of copies by ``_leads``.
-
-    Copies are first numbered per input partition; only the first of each partition takes
-    part in the second numbering, so no task holds all copies of a trip.
-    """
-    lane = Window.partitionBy(*keys, "_from").orderBy("_opens")
-    final = Window.partitionBy(*keys, "_lane").orderBy("_from")
-    return (
-        rows.withColumn("_turn", F.row_number().over(lane))
-        .withColumn("_lane", F.when(F.col("_turn") == 1, -1).otherwise(F.col("_from")))
-        .withColumn("_leads", (F.col("_turn") == 1) & (F.row_number().over(final) == 1))
+    inside = Window.partitionBy("_part", "service_code").orderBy(depart, "trip_id", "_at")
+    previous = F.coalesce(F.lag(depart).over(inside), "_earlier")
+    gap = (F.unix_timestamp(depart) - F.unix_timestamp(previous)) / F.lit(60.0)
+    # One row for each range and the routes in it: with ordered ranges few ranges share a route.
+    met = join_lookup(ranged, settle(earlier), ["service_code", "_part"], null_keys=True)
+    return met.withColumn(name, F.when(F.col("service_code").isNotNull(), gap)).select(
+        *trips.columns, name
     )

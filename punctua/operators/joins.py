@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +22,20 @@ def _spread(frame: DataFrame, salts: int) -> Column:
     return F.pmod(by_value + F.spark_partition_id(), F.lit(salts)).cast("int")
 
 
+def keyed_join(
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, null_keys: bool = False
+) -> DataFrame:
+    """Join on equal keys, kept once; with ``null_keys`` a null meets a null as well."""
+    if not null_keys:
+        return facts.join(lookup, list(keys), how)
+    renamed = lookup.withColumnsRenamed({key: f"_key_{key}" for key in keys})
+    same = [facts[key].eqNullSafe(renamed[f"_key_{key}"]) for key in keys]
+    return facts.join(renamed, reduce(and_, same), how).drop(*[f"_key_{key}" for key in keys])
+
+
 def salted_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, salts: int = SALTS
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, salts: int = SALTS,
+    null_keys: bool = False,
 ) -> DataFrame:
     """Equi-join that spreads each key of ``facts`` over ``salts`` tasks.
 
@@ -30,7 +44,7 @@ def salted_join(
     """
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = facts.withColumn("_salt", _spread(facts, salts))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return keyed_join(salted, copies, [*keys, "_salt"], how, null_keys).drop("_salt")
 
 
 def join_lookup(
@@ -39,11 +53,15 @@ def join_lookup(
     keys: Sequence[str],
     how: str = "left",
     broadcast_rows: int = BROADCAST_ROWS,
+    null_keys: bool = False,
 ) -> DataFrame:
-    """Join a settled lookup table: broadcast when its counted size allows, else salted."""
+    """Join a settled lookup table: broadcast when its counted size allows, else salted.
+
+    Both ways give the same rows; ``null_keys`` lets null keys meet.
+    """
     if is_small(lookup, broadcast_rows):
-        return facts.join(F.broadcast(lookup), list(keys), how)
-    return salted_join(facts, lookup, keys, how)
+        return keyed_join(facts, F.broadcast(lookup), keys, how, null_keys)
+    return salted_join(facts, lookup, keys, how, null_keys=null_keys)
 
 
 def heavy_keys(

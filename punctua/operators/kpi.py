@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctua import config
 from punctua.functions.columns import target_state
 from punctua.operators.headway import slot_gaps, used_seconds
-from punctua.operators.prepare import route_duration_stats, route_on_time
-from punctua.operators.settle import SMALL_ROWS
-from punctua.sources.tables import register_views, run_sql
+from punctua.operators.prepare import route_measures
 
 ROUTE_DELAYS = """
     SELECT service_code,
@@ -20,7 +18,7 @@ ROUTE_DELAYS = """
            round(max(delay_minutes), 2)    AS max_delay_min,
            count(*)                        AS trips,
            round(avg(is_delayed) * 100, 1) AS pct_delayed
-    FROM timetables
+    FROM {rows}
     GROUP BY service_code
     ORDER BY avg_delay_min DESC, service_code
     LIMIT :routes
@@ -31,18 +29,18 @@ DISRUPTION_BREAKDOWN = """
            count(*)                    AS count,
            round(avg(duration_min), 1) AS avg_duration_min,
            count_if(severity = 'High') AS high_count
-    FROM disruptions
+    FROM {rows}
     GROUP BY disruption_type
     ORDER BY count DESC, disruption_type
 """
 
-COUNT_BY_LABEL = "SELECT count(*) AS total FROM timetables WHERE is_delayed = :flag"
+COUNT_BY_LABEL = "SELECT count(*) AS total FROM {rows} WHERE is_delayed = :flag"
 
 OPERATOR_RELIABILITY = """
     SELECT operator,
            round(1 - avg(is_delayed), 4) AS service_reliability,
            count(*)                      AS total_trips
-    FROM timetables
+    FROM {rows}
     GROUP BY operator
     ORDER BY service_reliability DESC, operator
 """
@@ -51,7 +49,7 @@ ROUTES_BELOW_TARGET = """
     SELECT service_code,
            round(avg(CASE WHEN is_delayed = 0 THEN 1D ELSE 0D END) * 100, 2) AS pct_on_time,
            count(*) AS trips
-    FROM timetables
+    FROM {rows}
     GROUP BY service_code
     HAVING pct_on_time < :percent
     ORDER BY pct_on_time, service_code
@@ -59,7 +57,7 @@ ROUTES_BELOW_TARGET = """
 
 HOTSPOTS = """
     SELECT service_code, disruption_type, count(*) AS n
-    FROM disruptions
+    FROM {rows}
     WHERE severity = 'High'
     GROUP BY service_code, disruption_type
     ORDER BY n DESC, service_code, disruption_type
@@ -68,53 +66,53 @@ HOTSPOTS = """
 
 VARIABLE_ROUTES = """
     SELECT service_code, round(avg(cv_travel_time), 4) AS mean_cv
-    FROM timetables
+    FROM {rows}
     GROUP BY service_code
     HAVING mean_cv > :limit
     ORDER BY mean_cv DESC, service_code
 """
 
 
-def _query(frame: DataFrame, view: str, text: str, **parameters: object) -> DataFrame:
-    register_views({view: frame})
-    return run_sql(frame.sparkSession, text, parameters)
+def _query(frame: DataFrame, text: str, **parameters: object) -> DataFrame:
+    """Runs a statement over ``{rows}``; no view of the caller is touched."""
+    return frame.sparkSession.sql(text, args=parameters, rows=frame)
 
 
 def route_delays(trips: DataFrame, routes: int = 10) -> DataFrame:
     """Routes with the highest mean delay."""
-    return _query(trips, "timetables", ROUTE_DELAYS, routes=routes)
+    return _query(trips, ROUTE_DELAYS, routes=routes)
 
 
 def disruption_breakdown(disruptions: DataFrame) -> DataFrame:
     """Count, mean duration and high-severity count per disruption type."""
-    return _query(disruptions, "disruptions", DISRUPTION_BREAKDOWN)
+    return _query(disruptions, DISRUPTION_BREAKDOWN)
 
 
 def count_by_label(trips: DataFrame, flag: int = 1) -> DataFrame:
     """Number of trips with the given label."""
-    return _query(trips, "timetables", COUNT_BY_LABEL, flag=flag)
+    return _query(trips, COUNT_BY_LABEL, flag=flag)
 
 
 def operator_reliability(trips: DataFrame) -> DataFrame:
     """On-time share per operator, best first."""
-    return _query(trips, "timetables", OPERATOR_RELIABILITY)
+    return _query(trips, OPERATOR_RELIABILITY)
 
 
 def routes_below_target(
     trips: DataFrame, percent: float = config.Targets().on_time_percent
 ) -> DataFrame:
     """Routes whose on-time percentage misses the target, worst first."""
-    return _query(trips, "timetables", ROUTES_BELOW_TARGET, percent=percent)
+    return _query(trips, ROUTES_BELOW_TARGET, percent=percent)
 
 
 def disruption_hotspots(disruptions: DataFrame, places: int = 20) -> DataFrame:
     """Routes and types with the most high-severity disruptions."""
-    return _query(disruptions, "disruptions", HOTSPOTS, places=places)
+    return _query(disruptions, HOTSPOTS, places=places)
 
 
 def variable_routes(trips: DataFrame, limit: float = config.Targets.travel_time_cv) -> DataFrame:
     """Routes whose travel-time variation exceeds the limit, highest first."""
-    return _query(trips, "timetables", VARIABLE_ROUTES, limit=limit)
+    return _query(trips, VARIABLE_ROUTES, limit=limit)
 
 
 def operator_profile(
@@ -180,7 +178,6 @@ def best_by(results: DataFrame, name: str = "model", score: str = "f1") -> DataF
 def headway_regularity(
     trips: DataFrame,
     limit: float = config.Targets.headway_ratio,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Per route: deviation of the actual headway over the mean scheduled headway.
 
@@ -190,7 +187,7 @@ def headway_regularity(
 
     def moments(depart: str) -> DataFrame:
         gap = F.coalesce("gap_min", F.lit(0.0))
-        return slot_gaps(used_seconds(trips, depart), small_rows).groupBy("service_code").agg(
+        return slot_gaps(used_seconds(trips, depart)).groupBy("service_code").agg(
             (F.sum("rows") - 1).alias("n"), F.sum(gap).alias("total"),
             F.sum(gap * gap).alias("squares"),
         )
@@ -217,19 +214,19 @@ def headway_regularity(
 
 def completion_rate(trips: DataFrame) -> DataFrame:
     """Per route: trips with an actual departure over all trips."""
-    return trips.groupBy("service_code").agg(
-        (F.count("actual_depart") / F.count(F.lit(1))).alias("completion_rate")
-    )
+    return trips.groupBy("service_code").agg(completed_share().alias("completion_rate"))
+
+
+def completed_share() -> Column:
+    return F.count("actual_depart") / F.count(F.lit(1))
 
 
 def kpi_compliance(trips: DataFrame, targets: config.Targets = config.Targets()) -> DataFrame:
     """One row per route and KPI: value, target and whether the route meets it."""
-    wide = (
-        route_duration_stats(trips).select("service_code", "cv_travel_time")
-        .join(route_on_time(trips), "service_code")
-        .join(completion_rate(trips), "service_code")
-        .join(headway_regularity(trips).select("service_code", "headway_ratio"),
-              "service_code", "left")
+    ratios = headway_regularity(trips).select("service_code", "headway_ratio")
+    known = trips.where(F.col("service_code").isNotNull())
+    wide = route_measures(known, completed_share().alias("completion_rate")).join(
+        ratios, "service_code", "left"
     )
 
     def entry(kpi: str, column: str, target: float, at_least: bool):

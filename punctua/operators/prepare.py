@@ -83,6 +83,13 @@ def _with_variation(stats: DataFrame) -> DataFrame:
     return stats.withColumn("cv_travel_time", F.try_divide("std_dur", "mean_dur"))
 
 
+def route_measures(trips: DataFrame, *more: Column) -> DataFrame:
+    """Duration statistics, on-time share and ``more`` aggregates per route, in one pass."""
+    return _with_variation(
+        trips.groupBy("service_code").agg(*_duration_aggregates(), _on_time_share(), *more)
+    )
+
+
 def route_duration_stats(trips: DataFrame) -> DataFrame:
     """Mean, sample deviation and coefficient of variation of the travel time per route."""
     return _with_variation(trips.groupBy("service_code").agg(*_duration_aggregates()))
@@ -133,8 +140,7 @@ def build_trips(
     """Cleaned and enriched trips with the stored columns."""
     cleaned = clean_trips(trips)
     features = settle(route_features(cleaned, disruptions, train_only))
-    rows = features.agg(F.sum("trip_count")).first()[0] or 0
-    with_gaps = add_headway(add_weather_code(cleaned), rows=rows)
+    with_gaps = add_headway(add_weather_code(cleaned))
     return add_route_features(with_gaps, features).select(*config.TRIP_COLUMNS)
 
 

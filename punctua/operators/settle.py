@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +13,11 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; only a local session gets one of its own."""
+    """Folder named by ``spark.checkpoint.dir``, which all executors must reach."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="run-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

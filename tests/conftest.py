@@ -9,7 +9,9 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    # Workers must find the package wherever pytest is started.
+    os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -17,6 +19,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -28,13 +28,12 @@ def rows_of(frame):
     return sorted(map(str, frame.select(*sorted(frame.columns)).collect()))
 
 
-@pytest.mark.parametrize("small_rows", [10**6, 0])
-def test_headway_of_first_tied_and_single_trips(spark, small_rows):
+def test_headway_of_first_tied_and_single_trips(spark):
     trips = trips_frame(spark, [
         ("T2", "N1", moment(10)), ("T1", "N1", moment(10)), ("T3", "N1", moment(25)),
         ("T4", "N2", moment(5)), ("T5", "N1", moment(3, day=4)), ("T6", "N1", None),
     ])
-    found = {r.trip_id: r.headway_min for r in add_headway(trips, small_rows=small_rows).collect()}
+    found = {r.trip_id: r.headway_min for r in add_headway(trips).collect()}
     days = 2 * 1440 + 1440 - 22
     assert found == {"T1": None, "T2": 0.0, "T3": 15.0, "T4": None, "T5": float(days), "T6": None}
 
@@ -51,17 +50,20 @@ def random_trips(spark, seed, copies=0):
 
 
 @pytest.mark.parametrize("copies", [0, 200])
-@pytest.mark.parametrize("small_rows,broadcast_rows,heavy_rows", [
-    (10**6, 0, 0), (0, 10**6, 10**6), (0, 0, 10**6), (0, 0, 5),
-])
-def test_headway_equals_plain_lag(
-    spark, monkeypatch, copies, small_rows, broadcast_rows, heavy_rows
-):
-    monkeypatch.setattr(headway, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(headway, "HEAVY_ROWS", heavy_rows)
+def test_headway_equals_plain_lag(spark, copies):
     trips = random_trips(spark, 3, copies)
-    found = add_headway(trips, small_rows=small_rows)
-    assert rows_of(found) == rows_of(plain_headway(trips))
+    assert rows_of(add_headway(trips)) == rows_of(plain_headway(trips))
+
+
+def test_headway_of_incomplete_trips(spark):
+    trips = trips_frame(spark, [
+        (None, "N1", moment(10)), ("T1", "N1", moment(19)), (None, None, moment(5)),
+        ("T2", None, moment(9)), (None, "N1", moment(19)), ("T3", "N1", None),
+    ])
+    gaps = sorted((r.service_code or "", r.trip_id or "", r.headway_min or -1.0)
+                  for r in add_headway(trips).collect())
+    assert gaps == [("", "", -1.0), ("", "T2", -1.0), ("N1", "", -1.0), ("N1", "", 9.0),
+                    ("N1", "T1", -1.0), ("N1", "T3", -1.0)]
 
 
 def raw_trip(**changes):
