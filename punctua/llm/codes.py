@@ -112,26 +112,26 @@ class WordCache:
     def packed(self, words: list[str]) -> list[bytes]:
         found = list(map(self.fresh.get, words))
         missing = [i for i, ids in enumerate(found) if ids is None]
-        unknown = []
-        for i in missing:
-            found[i] = self.aged.get(words[i])
-            if found[i] is None:
-                unknown.append(i)
+        keys = [words[i] for i in missing]
+        known = list(map(self.aged.get, keys))
+        unknown = [key for key, ids in zip(keys, known) if ids is None]
         coded = [code.ids for code in tokenizer(self.path).encode_batch_fast(
-            [words[i] for i in unknown], add_special_tokens=False)]
+            unknown, add_special_tokens=False)]
         packed = np.fromiter(chain.from_iterable(coded), "<u4").tobytes()
         stops = [4 * n for n in accumulate(map(len, coded))]
-        for i, begin, end in zip(unknown, [0, *stops], stops):
-            found[i] = packed[begin:end]
-        for i in missing:
-            if len(self.fresh) >= self.LIMIT // 2:
-                self.aged, self.fresh = self.fresh, {}
-            if len(words[i]) <= 64:
-                self.fresh[words[i]] = found[i]
+        fresh = iter([packed[a:b] for a, b in zip([0, *stops], stops)])
+        for place, ids in enumerate(known):
+            if ids is None:
+                known[place] = next(fresh)
+        for i, ids in zip(missing, known):
+            found[i] = ids
+        if len(self.fresh) + len(keys) > self.LIMIT // 2:
+            self.aged, self.fresh = self.fresh, {}
+        self.fresh.update((k, v) for k, v in zip(keys, known) if len(k) <= 64)
         return found
 
-    def encode(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by ``end``, and the bounds of each text in them."""
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and the bounds of each text in them."""
         data, bounds = W.text_bytes(column)
         starts, ends = _pieces(data, bounds)
         sizes = ends - starts
@@ -148,14 +148,13 @@ class WordCache:
         ).dictionary_encode()
         packed = self.packed(words.dictionary.to_pylist())
         known = np.frombuffer(b"".join(packed), "<u4")
-        counts = np.array(list(map(len, packed)), np.int64) // 4
+        counts = np.fromiter(map(len, packed), np.int32, len(packed)) // 4
         index = words.indices.to_numpy()
-        heads, inner = (np.cumsum(counts) - counts)[index], counts[index]
-        stops = np.cumsum(inner)
-        ids = known[np.repeat(heads - (stops - inner), inner) + np.arange(inner.sum())]
-        upto = np.concatenate(([0], stops))[np.searchsorted(starts, bounds)]
-        ids = np.insert(ids, upto[1:], end)
-        return ids, upto + np.arange(len(upto))
+        heads, inner = (np.cumsum(counts, dtype=np.int32) - counts)[index], counts[index]
+        stops = np.cumsum(inner, dtype=np.int32)
+        total = stops[-1] if len(stops) else 0
+        ids = known[np.repeat(heads - (stops - inner), inner) + np.arange(total, dtype=np.int32)]
+        return ids, np.concatenate(([0], stops))[np.searchsorted(starts, bounds)]
 
 
 _LETTER = np.zeros(256, bool)
@@ -214,14 +213,14 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = END) -> None:
 
         for batch in batches:
             for piece in W.slices(batch, "text"):
-                made, bounds = cache.encode(piece.column("text"), end)
+                made, bounds = cache.encode(piece.column("text"))
                 for name, a, b in zip(piece.column("doc_id").to_pylist(), bounds, bounds[1:]):
-                    if names and held + b - a > SEGMENT_TOKENS:
+                    if names and held + b - a >= SEGMENT_TOKENS:
                         yield row()
                         names, ids, held = [], [], 0
                     names.append(name)
-                    ids.append(made[a:b])
-                    held += b - a
+                    ids.append(np.append(made[a:b], np.uint32(end)))
+                    held += b - a + 1
         if names:
             yield row()
 
