@@ -58,11 +58,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with ``ids``, ``n_tokens``, and whether decoding gives back the text."""
-    path = bpe.default_ranks()
-    decoded = bpe.decode(bpe.encode(docs, path).drop("offsets"), path)
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return decoded.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"),
-                          (F.col("decoded") == text).alias("restored"))
+    return bpe.encode_checked(docs, bpe.default_ranks())
 
 
 STAGES = [

@@ -407,6 +407,32 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     )
 
 
+def encode_checked(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Encode, and decode again in the same pass: adds ids, n_tokens and restored.
+
+    ``restored`` tells whether the decoded bytes are those of the text.
+    """
+    docs = docs.drop("ids", "n_tokens", "restored")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = ranks(path)
+        for batch in batches:
+            for part in W.slices(batch, text):
+                ids, bounds = own.encode(part.column(text))
+                data, places = own.decode(ids, bounds)
+                source, wanted = W.text_bytes(part.column(text))
+                whole, given = data.tobytes(), source.tobytes()
+                same = [whole[a:b] == given[c:d] for a, b, c, d in
+                        zip(places, places[1:], wanted, wanted[1:])]
+                yield _with(part, ["ids", "n_tokens", "restored"], [
+                    pa.ListArray.from_arrays(
+                        pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                    pa.array(np.diff(bounds).astype(np.int64)), pa.array(same),
+                ])
+
+    return docs.mapInArrow(run, _schema(docs, "ids array<int>, n_tokens long, restored boolean"))
+
+
 def default_ranks() -> str:
     import public_tokenizers
 

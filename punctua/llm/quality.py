@@ -196,8 +196,7 @@ def log_ratios(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
-    """Adds ``log_weight`` and ``label`` (0 if none) to all columns of ``docs``."""
-    docs = docs.drop("log_weight", "label_kind")
+    """Adds ``_log_weight`` and ``_label_kind`` (0 if none) to all columns of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast((ratios, labels))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
@@ -212,9 +211,9 @@ def weigh(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
                 kinds = known.of(part.column("doc_id").cast(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(sums), pa.array(kinds.astype(np.int8))],
-                    [*part.schema.names, "log_weight", "label_kind"])
+                    [*part.schema.names, "_log_weight", "_label_kind"])
 
-    return docs.mapInArrow(run, f"{own}, log_weight double, label_kind tinyint")
+    return docs.mapInArrow(run, f"{own}, _log_weight double, _label_kind tinyint")
 
 
 def best_cut(weighed: DataFrame) -> float:
@@ -243,10 +242,11 @@ def _key(temperature: float) -> Column:
 
     As a non-negative integer of 62 bits, in steps far below the noise, to be counted by digits.
     """
-    noise = F.shiftrightunsigned(F.xxhash64(F.lit("gumbel"), "doc_id", "text"), 11)
+    noise = F.shiftrightunsigned(
+        F.xxhash64(F.lit("gumbel"), F.col("doc_id").cast("long"), "text"), 11)
     uniform = (noise.cast("double") + 0.5) / F.lit(2.0**53)
     end = F.lit(2.0**19)
-    key = F.greatest(-end, F.least(end, F.col("log_weight") / temperature)) - F.log(
+    key = F.greatest(-end, F.least(end, F.col("_log_weight") / temperature)) - F.log(
         -F.log(uniform))
     return F.round((key + 2.0**20) * 2.0**40).cast("long")
 
@@ -278,8 +278,8 @@ class Selection:
     temperature: float
     least: int | None
 
-    def kept(self) -> Column:
-        return F.lit(False) if self.least is None else F.col("key") >= self.least
+    def kept(self, key: Column) -> Column:
+        return F.lit(False) if self.least is None else key >= self.least
 
 
 def select(docs: DataFrame, labels: DataFrame, k: int | None = None,
@@ -292,7 +292,10 @@ def select(docs: DataFrame, labels: DataFrame, k: int | None = None,
     ratios = log_ratios(*count_ngrams(docs, known))
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     weighed = keep(
-        weigh(narrow, ratios, known).withColumn("key", _key(temperature)).drop("text"), "weighed"
+        weigh(narrow, ratios, known).select(
+            "doc_id", F.col("_log_weight").alias("log_weight"),
+            F.col("_label_kind").alias("label_kind"), _key(temperature).alias("key"),
+        ), "weighed",
     )
     if k is None:
         cut = best_cut(weighed)
@@ -307,15 +310,12 @@ def selected(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     Weights are computed again from the texts rather than joined: no text is shuffled.
     """
     made = select(docs, labels, **options)
-    names = docs.columns
-    own = docs.withColumn("_all", F.struct(*names)).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", "_all")
-    weighed = weigh(own, made.ratios, made.labels).withColumn("key", _key(made.temperature))
-    return weighed.where(made.kept()).select("_all.*")
+    weighed = weigh(docs, made.ratios, made.labels)
+    return weighed.where(made.kept(_key(made.temperature))).drop("_log_weight", "_label_kind")
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     """All documents weighed against the labelled ones, and the selection."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     made = select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return made.weighed.withColumn("kept", made.kept())
+    return made.weighed.withColumn("kept", made.kept(F.col("key")))
