@@ -19,6 +19,12 @@ def clamp(value: Column, low: float, high: float) -> Column:
     return F.when(value < F.lit(low), F.lit(low)).when(above, F.lit(high)).otherwise(value)
 
 
+def number(name: str) -> Column:
+    """A column as double with NaN as null, so that statistics miss the same rows."""
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def is_complete(frame: DataFrame, columns: Sequence[str]) -> Column:
     """No null and no NaN in ``columns``; unlike ``dropna`` the null checks reach the file scan."""
     known = [F.col(name).isNotNull() for name in columns]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua import config
-from punctua.functions.columns import clamp, corrected_kurtosis, corrected_skewness
+from punctua.functions.columns import clamp, corrected_kurtosis, corrected_skewness, number
 from punctua.operators.joins import join_lookup
 from punctua.operators.ordering import percentiles, value_counts
 from punctua.operators.settle import SMALL_ROWS, settle
@@ -21,7 +21,7 @@ BOX_ORDER = ["Clear", "Rain", "Windy", "Fog", "Snow"]
 
 def hour_profile(trips: DataFrame) -> DataFrame:
     """Mean, sample deviation and number of delays per hour."""
-    delay = F.col("delay_minutes")
+    delay = number("delay_minutes")
     return trips.groupBy("hour_of_night").agg(
         F.mean(delay).alias("mean"), F.stddev(delay).alias("std"), F.count(delay).alias("count")
     )
@@ -37,9 +37,12 @@ def frequencies(frame: DataFrame, column: str) -> DataFrame:
 
 def shares(frame: DataFrame, column: str) -> DataFrame:
     """Share of the non-null rows that each value holds."""
-    known = frame.where(F.col(column).isNotNull())
-    rows = known.count()
-    return known.groupBy(column).agg((F.count(F.lit(1)) / F.lit(rows)).alias("share"))
+    counts = (
+        frame.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    )
+    total = counts.agg(F.sum("n").alias("_rows"))  # one row
+    return counts.crossJoin(F.broadcast(total)).select(
+        column, (F.col("n") / F.col("_rows")).alias("share"))
 
 
 def route_scatter(trips: DataFrame, targets: config.Targets = config.Targets()) -> DataFrame:
@@ -48,7 +51,7 @@ def route_scatter(trips: DataFrame, targets: config.Targets = config.Targets())
         trips.groupBy("service_code")
         .agg(
             (1 - F.mean("is_delayed")).alias("pct_on_time"),
-            F.mean("cv_travel_time").alias("cv"),
+            F.mean(number("cv_travel_time")).alias("cv"),
             F.mean("disruption_count").alias("avg_disruptions"),
         )
         .withColumn("meets_on_time", F.col("pct_on_time") >= F.lit(targets.on_time_share))
@@ -64,7 +67,7 @@ def describe(
 ) -> DataFrame:
     """One row: count, mean, deviation, minimum, exact percentiles, maximum.
 
-    All statistics come from the counts of distinct values, except mean and deviation.
+    A null or NaN enters none of them.
     """
     counts = value_counts(frame, value)
     quantiles = percentiles(counts, value, shares, small_rows=small_rows)
@@ -72,10 +75,10 @@ def describe(
     by_rank = quantiles.select(
         *[F.element_at("q", i + 1).alias(name) for i, name in enumerate(names)]
     )
-    number = F.col(value)
+    known = number(value)
     basics = frame.agg(
-        F.count(number).alias("count"), F.mean(number).alias("mean"),
-        F.stddev(number).alias("std"), F.min(number).alias("min"), F.max(number).alias("max"),
+        F.count(known).alias("count"), F.mean(known).alias("mean"),
+        F.stddev(known).alias("std"), F.min(known).alias("min"), F.max(known).alias("max"),
     )
     parts = basics.unionByName(by_rank, allowMissingColumns=True)
     order = ["count", "mean", "std", "min", *names, "max"]
@@ -84,9 +87,9 @@ def describe(
 
 def shape(frame: DataFrame, value: str) -> DataFrame:
     """One row: bias-corrected skewness and excess kurtosis."""
-    number = F.col(value)
+    known = number(value)
     return frame.agg(
-        corrected_skewness(number).alias("skewness"), corrected_kurtosis(number).alias("kurtosis")
+        corrected_skewness(known).alias("skewness"), corrected_kurtosis(known).alias("kurtosis")
     )
 
 
@@ -99,7 +102,7 @@ def correlations(
     first pass. Pairs with gaps have their own means and take the built-in aggregate, which
     costs several times more per row.
     """
-    numbers = frame.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    numbers = frame.select(*[number(name).alias(name) for name in columns])
     first = numbers.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count(name).alias(f"_n_{name}") for name in columns],
@@ -147,7 +150,7 @@ def histogram(
     Bins are closed on the left, the last one on both sides; empty bins are listed. Equal
     values get a range of width 1 around them.
     """
-    clamped = frame.select(clamp(F.col(value).cast("double"), *bounds).alias("x")).dropna()
+    clamped = frame.select(clamp(number(value), *bounds).alias("x")).dropna()
     low, high = clamped.agg(F.min("x"), F.max("x")).first()
     if low is None:
         low, high = 0.0, 1.0
@@ -190,9 +193,9 @@ def box_summary(
         )
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    number = F.col(value)
-    lowest = F.min(F.when(number >= F.col("q1") - reach, number))
-    highest = F.max(F.when(number <= F.col("q3") + reach, number))
+    known = F.col(value)
+    lowest = F.min(F.when(known >= F.col("q1") - reach, known))
+    highest = F.max(F.when(known <= F.col("q3") + reach, known))
     return (
         join_lookup(counts, quartiles, [group], "inner")
         .groupBy(group, "q1", "q2", "q3")

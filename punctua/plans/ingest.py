@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from punctua import schemas
 from punctua.operators.prepare import build_trips, enrich_pings
@@ -43,24 +43,28 @@ class Stored:
 def raw_csv(spark: SparkSession, folder: str) -> Raw:
     """Raw tables from ``timetables.csv``, ``disruptions.csv`` and ``locations.csv``.
 
-    Trips are copied to Parquet first: later steps read them several times, mostly a few
+    They are copied to Parquet first: later steps read them several times, mostly a few
     columns, and text can only be read whole.
     """
     return Raw(
         store(read_csv(spark, f"{folder}/timetables.csv", schemas.TIMETABLES)),
-        read_csv(spark, f"{folder}/disruptions.csv", schemas.DISRUPTIONS),
-        read_csv(spark, f"{folder}/locations.csv", schemas.LOCATIONS),
+        store(read_csv(spark, f"{folder}/disruptions.csv", schemas.DISRUPTIONS)),
+        store(read_csv(spark, f"{folder}/locations.csv", schemas.LOCATIONS)),
     )
 
 
-def ingest(raw: Raw, stored: Stored) -> None:
+def ingest(raw: Raw, stored: Stored, train_only: Column | None = None) -> None:
     """Clean and enrich the raw tables and replace the stored ones.
 
+    Tables are clustered by what reports filter on, so that such reads skip files.
+    ``train_only`` picks the trips whose labels the route features may see.
+
     Pings are matched with the stored trips, so the enrichment runs once and the join reads
     four columns.
     """
     spark = raw.trips.sparkSession
-    write_table(build_trips(raw.trips, raw.disruptions), stored.trips)
-    write_table(raw.disruptions, stored.disruptions)
+    trips = build_trips(raw.trips, raw.disruptions, train_only)
+    write_table(trips, stored.trips, cluster_by=["service_code", "scheduled_depart"])
+    write_table(raw.disruptions, stored.disruptions, cluster_by=["service_code", "start_time"])
     trips = read_table(spark, stored.trips)
-    write_table(enrich_pings(raw.pings, trips), stored.pings)
+    write_table(enrich_pings(raw.pings, trips), stored.pings, cluster_by=["trip_id", "timestamp"])

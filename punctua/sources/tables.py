@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -71,6 +72,10 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel | None:
     """Saved model, or None when there is none at ``path``."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return PipelineModel.load(path) if files.exists(location) else None
+    try:
+        spark.read.text(f"{path}/metadata").limit(0).collect()
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return PipelineModel.load(path)

@@ -14,12 +14,8 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
 
 FITTED = {
-    "random_split": ["trip_id", "is_delayed", "part"],
-    "lr_grid_cv": ["roc_auc", "weighted_f1", "accuracy", "reg_param", "elastic_net_param", "cv_auc"],
     "model_comparison": ["model", "accuracy", "precision", "recall", "f1", "roc_auc", "cv_f1",
                          "train_time_s", "model_efficiency"],
-    "feature_importance": ["feature", "importance"],
-    "batch_scores": ["trip_id", "prediction", "delay_probability", "verdict"],
 }
 
 

