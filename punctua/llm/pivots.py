@@ -95,8 +95,11 @@ def describe(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) ->
 
 
 def _compare(pivot: int, near: list, vectors: list, sizes: np.ndarray, blocks: np.ndarray,
-             cosine: float, shared: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Per vector the linked others of this task, weighted by class size; a spanning forest."""
+             across: bool, cosine: float, shared: int) -> tuple[np.ndarray, list]:
+    """Per vector the linked others of this task, weighted by class size; a spanning forest.
+
+    ``across`` leaves out the pairs within a block, which have a task of their own.
+    """
     count = len(vectors)
     names, place = np.unique(np.concatenate(near), return_inverse=True)
     marks = np.zeros((count, len(names)), np.float32)
@@ -106,7 +109,7 @@ def _compare(pivot: int, near: list, vectors: list, sizes: np.ndarray, blocks: n
     alike = (marks @ marks.T >= least) & (
         marks[:, names < pivot] @ marks[:, names < pivot].T == 0
     )
-    if blocks.min() != blocks.max():
+    if across:
         alike &= blocks[:, None] != blocks[None, :]
     np.fill_diagonal(alike, False)
     linked = alike & (points @ points.T >= cosine)
@@ -154,7 +157,8 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS,
         sums, forest = _compare(
             table.column("pivot")[0].as_py(), table.column("near").to_pylist(),
             table.column("vector").to_pylist(), table.column("size").to_numpy(),
-            table.column("block").to_numpy(), cosine, shared,
+            table.column("block").to_numpy(),
+            table.column("low")[0].as_py() != table.column("high")[0].as_py(), cosine, shared,
         )
         some = np.flatnonzero(sums)
         ends = np.array(forest, np.int64).reshape(-1, 2)
