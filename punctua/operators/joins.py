@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from punctua.operators.settle import BROADCAST_ROWS, is_small, settle
 
-SALTS = 64
+NULL_SALTS = 4096
 HEAVY_SHARE = 1 / 500
 HEAVY_ROWS = 1_000_000
 
 
-def _spread(frame: DataFrame, salts: int) -> Column:
+def _spread(frame: DataFrame, salts: Column) -> Column:
     """Salt that also separates equal rows as long as they come from different partitions."""
-    by_value = F.pmod(F.xxhash64(*frame.columns), F.lit(salts))
-    return F.pmod(by_value + F.spark_partition_id(), F.lit(salts)).cast("int")
+    by_value = F.pmod(F.xxhash64(*frame.columns), salts)
+    return F.pmod(by_value + F.spark_partition_id(), salts).cast("int")
 
 
 def keyed_join(
@@ -33,20 +33,6 @@ def keyed_join(
     return facts.join(renamed, reduce(and_, same), how).drop(*[f"_key_{key}" for key in keys])
 
 
-def salted_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str, salts: int = SALTS,
-    null_keys: bool = False,
-) -> DataFrame:
-    """Equi-join that spreads each key of ``facts`` over ``salts`` tasks.
-
-    Every lookup row is repeated once per salt, so a fact row meets the same lookup rows
-    whatever its salt is.
-    """
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = facts.withColumn("_salt", _spread(facts, salts))
-    return keyed_join(salted, copies, [*keys, "_salt"], how, null_keys).drop("_salt")
-
-
 def join_lookup(
     facts: DataFrame,
     lookup: DataFrame,
@@ -55,29 +41,28 @@ def join_lookup(
     broadcast_rows: int = BROADCAST_ROWS,
     null_keys: bool = False,
 ) -> DataFrame:
-    """Join a settled lookup table: broadcast when its counted size allows, else salted.
+    """Join a settled lookup table: broadcast when its counted size allows, else shuffled.
 
+    Each lookup row is there once per key, so the skew join can split the facts of a hot key.
     Both ways give the same rows; ``null_keys`` lets null keys meet.
     """
-    if is_small(lookup, broadcast_rows):
-        return keyed_join(facts, F.broadcast(lookup), keys, how, null_keys)
-    return salted_join(facts, lookup, keys, how, null_keys=null_keys)
+    small = is_small(lookup, broadcast_rows)
+    return keyed_join(facts, F.broadcast(lookup) if small else lookup, keys, how, null_keys)
 
 
 def heavy_keys(
     facts: DataFrame, key: str, share: float = HEAVY_SHARE, at_least: int = HEAVY_ROWS
-) -> DataFrame | None:
-    """Keys that hold more than ``share`` of the rows, or None; no row may lack its key.
+) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows, with the tasks each needs as ``_salts``.
 
     There can be fewer than 1/share such keys, so the result is always small.
     """
     rows = facts.count()
     bar = max(rows * share, at_least)
-    if rows <= bar:
-        return None
     keys = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = settle(keys.where(F.col("_rows") > bar).select(key))
-    return None if heavy.isEmpty() else heavy
+    return settle(keys.where(F.col(key).isNotNull() & (F.col("_rows") > bar)).select(
+        F.col(key), F.ceil(F.col("_rows") / F.lit(max(at_least, 1))).cast("int").alias("_salts")
+    ))
 
 
 def join_skewed(
@@ -88,25 +73,15 @@ def join_skewed(
     share: float = HEAVY_SHARE,
     at_least: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Inner or left join of two large tables whose heavy keys are salted and joined apart.
+    """Inner or left join of two large tables, in one join whose heavy keys are salted.
 
-    Rows without a key match nothing; a left join adds them without shuffling them.
+    A heavy key is spread over as many tasks as its counted rows need, and only its rows of
+    ``other`` are copied, once for each. Rows without a key match nothing and are spread.
     """
-    keyed = facts.where(F.col(key).isNotNull())
-    joined = _join_keyed(keyed, other, key, how, heavy_keys(keyed, key, share, at_least))
-    if how != "left":
-        return joined
-    return joined.unionByName(facts.where(F.col(key).isNull()), allowMissingColumns=True)
-
-
-def _join_keyed(
-    facts: DataFrame, other: DataFrame, key: str, how: str, heavy: DataFrame | None
-) -> DataFrame:
-    if heavy is None:
-        return facts.join(other, key, how)
-    few = F.broadcast(heavy)
-    light_part = facts.join(few, key, "left_anti").join(other, key, how)
-    heavy_part = salted_join(
-        facts.join(few, key, "left_semi"), other.join(few, key, "left_semi"), [key], how
-    )
-    return light_part.unionByName(heavy_part)
+    heavy = F.broadcast(heavy_keys(facts, key, share, at_least))
+    salts = F.coalesce("_salts", F.lit(1))
+    wide = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(salts)
+    salted = facts.join(heavy, key, "left").withColumn("_salt", _spread(facts, wide)).drop("_salts")
+    copies = other.join(heavy, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
