@@ -9,16 +9,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua import config
+from punctua.operators.settle import store
 
 
-def row_rules(frame: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Count the rows that meet each violation condition, all rules in one pass."""
-    counted = frame.agg(
-        F.count(F.lit(1)).alias("checked"),
+def rules_by_key(frame: DataFrame, key: str, rules: Mapping[str, Column]) -> DataFrame:
+    """Per key value (null included): its rows ``n``, and how many meet each violation condition."""
+    return frame.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
         *[F.count_if(condition).alias(name) for name, condition in rules.items()],
     )
-    rows = [F.struct(F.lit(name).alias("rule"), F.col("checked"), F.col(name).alias("violations"))
-            for name in rules]
+
+
+def key_report(by_key: DataFrame, key: str, unique_rule: str) -> DataFrame:
+    """Rows of all rules of :func:`rules_by_key`, and of the uniqueness of the key."""
+    known = F.col(key).isNotNull()
+    rules = [name for name in by_key.columns if name not in (key, "n")]
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    counted = by_key.agg(
+        total(F.col("n")).alias("_rows"), total(F.when(known, F.col("n"))).alias("_keyed"),
+        F.count_if(known & (F.col("n") > 1)).alias(unique_rule),
+        *[total(F.col(name)).alias(name) for name in rules],
+    )
+    rows = [F.struct(F.lit(name).alias("rule"), F.col(checked).alias("checked"),
+                     F.col(name).alias("violations"))
+            for name, checked in [*[(rule, "_rows") for rule in rules], (unique_rule, "_keyed")]]
     return counted.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
@@ -35,24 +52,15 @@ def in_range(column: str, low: float, high: float, prefix: str) -> dict[str, Col
     return {f"{prefix}_{column}_range": ~F.col(column).between(low, high)}
 
 
-def unique_key(frame: DataFrame, key: str, rule: str) -> DataFrame:
-    """Key values that occur more than once; copies are folded before the shuffle."""
-    occurrences = frame.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return occurrences.agg(
-        F.lit(rule).alias("rule"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-        F.count_if(F.col("n") > 1).alias("violations"),
-    )
-
-
 def known_reference(
     frame: DataFrame, key: str, parents: DataFrame, parent_key: str, rule: str
 ) -> DataFrame:
-    """Rows whose non-null ``key`` has no parent; a key is looked up once however often it occurs."""
+    """Rows whose non-null ``key`` has no parent; a key is looked up once however often it occurs.
+
+    ``parents`` holds each ``parent_key`` once.
+    """
     used = frame.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    parent = parents.select(F.col(parent_key).alias(key)).distinct().withColumn("_known", F.lit(1))
+    parent = parents.select(F.col(parent_key).alias(key)).withColumn("_known", F.lit(1))
     return used.join(parent, key, "left").agg(
         F.lit(rule).alias("rule"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
@@ -62,19 +70,24 @@ def known_reference(
 
 
 def quality_report(trips: DataFrame, disruptions: DataFrame, pings: DataFrame) -> DataFrame:
-    """All declared rules over cleaned trips, disruptions and pings."""
+    """All declared rules over cleaned trips, disruptions and pings.
+
+    Trips and disruptions are read once, for rules and keys together; the stored keys of the trips
+    serve the reference of the pings as well.
+    """
+    trips_by_key = store(rules_by_key(trips, "trip_id", {
+        **not_null("service_code", "operator", "is_delayed", prefix="trips"),
+        **in_range("delay_minutes_clipped", *config.STORED_DELAY_BOUNDS, prefix="trips"),
+    }))
+    disruptions_by_key = rules_by_key(disruptions, "disruption_id", {
+        **not_null("service_code", prefix="disruptions"),
+        **in_domain("severity", config.SEVERITIES, prefix="disruptions"),
+    })
     parts = [
-        row_rules(trips, {
-            **not_null("service_code", "operator", "is_delayed", prefix="trips"),
-            **in_range("delay_minutes_clipped", *config.STORED_DELAY_BOUNDS, prefix="trips"),
-        }),
-        row_rules(disruptions, {
-            **not_null("service_code", prefix="disruptions"),
-            **in_domain("severity", config.SEVERITIES, prefix="disruptions"),
-        }),
-        unique_key(trips, "trip_id", "trips_trip_id_unique"),
-        unique_key(disruptions, "disruption_id", "disruptions_disruption_id_unique"),
-        unique_key(pings, "location_id", "pings_location_id_unique"),
-        known_reference(pings, "trip_id", trips, "trip_id", "pings_trip_id_known"),
+        key_report(trips_by_key, "trip_id", "trips_trip_id_unique"),
+        key_report(disruptions_by_key, "disruption_id", "disruptions_disruption_id_unique"),
+        key_report(rules_by_key(pings, "location_id", {}), "location_id",
+                   "pings_location_id_unique"),
+        known_reference(pings, "trip_id", trips_by_key, "trip_id", "pings_trip_id_known"),
     ]
     return reduce(DataFrame.unionByName, parts)
