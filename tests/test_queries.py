@@ -13,10 +13,8 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
 
-FITTED = {
-    "model_comparison": ["model", "accuracy", "precision", "recall", "f1", "roc_auc", "cv_f1",
-                         "train_time_s", "model_efficiency"],
-}
+# Full-size models take minutes; tests/test_ml.py compares small ones.
+LONG = {"model_comparison"}
 
 
 @pytest.fixture(scope="module")
@@ -30,15 +28,8 @@ def test_matches_sql(spark, base, name):
     assert compare.differences(frame, base, SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(FITTED))
-def test_fitted_queries_have_rows(spark, name):
-    frame = QUERIES[name](spark, FOLDER)
-    assert frame.columns == FITTED[name]
-    assert frame.count() > 0
-
-
 def test_every_query_is_checked():
-    assert set(QUERIES) == set(SQL) | set(FITTED)
+    assert set(QUERIES) == set(SQL) | LONG
     assert set(QUERIES) <= set(driver.queries())
 
 
