@@ -4,13 +4,15 @@ Two generative models over hashed n-grams, one of target text (labelled good and
 one of all raw text, give each document a log importance weight: the sum of the log ratios of its
 distinct n-grams. Gumbel noise is added to the scaled weights and the k largest keys are selected.
 
-N-grams are words, word beginnings, runs of punctuation, the share of the text each such run has,
-and the share of tokens that repeat the one before. Counts are numbers of documents, so that
-copies within a text do not count. Raw counts cover all documents. A bucket speaks if the target
-count is ``MIN_SCORE`` standard deviations below the expected one, if ``MIN_BAD`` labelled bad
-documents have it, and if its share of the target is at most ``MAX_SHARE`` of its share of these;
-``PRIOR`` documents of the raw model are added to its target count. Texts of more than ``USUAL``
-n-grams have their sum scaled to that number, or chance would add up in them.
+N-grams are words, word pairs, word beginnings, runs of punctuation, the share of the text each such
+run has, and the share of tokens that repeat the one before. Counts are numbers of documents, so
+that copies within a text do not count. Raw counts cover all documents. To the target count and the
+expected one ``PRIOR`` documents times the root of the target's number are added. No ratio is
+dropped: each is multiplied by the probability that its bucket has different shares in target and
+labelled bad documents, from their counts and the share ``DIFFERENT`` of such buckets assumed
+before. Texts of more than ``USUAL`` n-grams have their sum scaled to that number, or chance would
+add up in them. The sum of ratios over one is scaled to ``GAINS`` n-grams: the target is part of the
+raw text, so these are small and many, and would let long texts outweigh what speaks against them.
 
 The target is a bounded sample of ``LABELS`` labelled rows, those of least hash; one in four of
 them is held out and sets k: the number of documents at or over the weight that best parts
@@ -22,6 +24,7 @@ counts for nothing. Rows that tie with the k-th key are all selected. Repeated r
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,18 +36,19 @@ from pyspark.sql import functions as F
 from punctua.llm import words as W
 from punctua.llm.shared import keep
 
-BUCKETS = 1 << 20
-# The last buckets are those of shares, so that no frequent word falls in with them.
+# The first buckets are those of words and beginnings, then come word pairs. The last are those
+# of shares, so that no frequent word falls in with them.
+WORDS = 1 << 20
 SHAPES = 1 << 14
+BUCKETS = 2 * WORDS + SHAPES
 CHUNK = 1 << 12
-# Distinct n-grams from which a sum is scaled down to as many.
-USUAL = 1000
+# Distinct n-grams from which a sum of losses or gains is scaled down to as many.
+USUAL, GAINS = 1000, 100
 # Bytes of the word beginnings that are n-grams too.
 PREFIX = 5
 LABELS = 200_000
 HELD_OUT = 4
-PRIOR, MIN_SCORE = 3.0, 2.5
-MIN_BAD, MAX_SHARE = 5, 0.1
+PRIOR, DIFFERENT = 0.01, 0.01
 TEMPERATURE = 0.1
 # Weights are counted in steps of this size between these ends to find the cut.
 STEP, ENDS = 0.05, 1000.0
@@ -52,6 +56,9 @@ STEP, ENDS = 0.05, 1000.0
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _WORD = W.NOT_SPACE & ~_PUNCTUATION
+_LOW = np.uint64(WORDS - 1)
+_ROW = BUCKETS.bit_length()
+_PAIR = np.uint64(0xD6E8FEB86659FD93)
 GOOD, BAD, FIT = 1, 2, 3
 
 
@@ -79,16 +86,21 @@ def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     )
     rate = np.floor(-np.log2(often / sizes[pairs.f0])).astype(np.uint64)
     span = np.uint64(SHAPES - 13)
+    words_of = np.repeat(np.arange(len(sizes)), np.diff(words.bounds))
+    follows = words_of[1:] == words_of[:-1]
+    twos = W.mix(words.hashes[:-1] * _PAIR + words.hashes[1:])[follows]
     buckets = np.concatenate((
-        (hashes % np.uint64(BUCKETS - SHAPES)).astype(np.int64),
-        (W.mix(heads + np.uint64(PREFIX)) % np.uint64(BUCKETS - SHAPES)).astype(np.int64),
+        (hashes & _LOW).astype(np.int64),
+        (W.mix(heads + np.uint64(PREFIX)) & _LOW).astype(np.int64),
+        WORDS + (twos & _LOW).astype(np.int64),
         BUCKETS - 1 - level,
         BUCKETS - SHAPES + (W.mix(pairs.f1 + rate) % span).astype(np.int64),
     ))
-    words_of = np.repeat(np.arange(len(sizes)), np.diff(words.bounds))
-    rows = np.concatenate((owner, words_of[long], np.arange(len(sizes)), pairs.f0))
-    keys = np.unique(rows * BUCKETS + buckets)
-    return keys % BUCKETS, keys // BUCKETS
+    rows = np.concatenate((
+        owner, words_of[long], words_of[1:][follows], np.arange(len(sizes)), pairs.f0))
+    keys = np.sort((rows << _ROW) | buckets)
+    keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+    return keys & ((1 << _ROW) - 1), keys >> _ROW
 
 
 @dataclass
@@ -156,7 +168,9 @@ def count_ngrams(docs: DataFrame, labels: Labels) -> tuple[np.ndarray, np.ndarra
             for part in W.slices(batch, "text"):
                 kinds = shared.value.of(part.column("doc_id"))
                 buckets, owner = ngrams(part.column("text"))
-                for row, mark in enumerate((kinds >= 0, kinds == FIT, kinds == BAD)):
+                counts[0, :BUCKETS] += np.bincount(buckets, minlength=BUCKETS)
+                counts[0, BUCKETS] += len(kinds)
+                for row, mark in ((1, kinds == FIT), (2, kinds == BAD)):
                     counts[row, :BUCKETS] += np.bincount(
                         buckets[mark[owner]], minlength=BUCKETS)
                     counts[row, BUCKETS] += mark.sum()
@@ -180,19 +194,35 @@ def count_ngrams(docs: DataFrame, labels: Labels) -> tuple[np.ndarray, np.ndarra
     return all_counts[:, :BUCKETS], all_counts[:, BUCKETS]
 
 
-def log_ratios(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
-    """Log ratio of the target model to the raw model for each bucket.
+def _log_factorial(values: np.ndarray) -> np.ndarray:
+    distinct, place = np.unique(values, return_inverse=True)
+    return np.array([math.lgamma(v + 1) for v in distinct.tolist()])[place]
+
+
+def evidence(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """Probability that target and labelled bad documents hold a bucket at different rates.
 
-    Ratios over one count as one: the target is part of the raw text, so such a gain tells
-    which documents were labelled, and would let long texts outweigh what speaks against them.
+    The odds of any split of its labelled documents against the split of all, times the odds
+    assumed before; a bucket without labelled documents keeps ``DIFFERENT``.
     """
-    raw, target, bad = counts.astype(np.float64)
+    _, target, bad = counts
+    both = documents[1] + documents[2]
+    share = min(max(documents[1] / max(both, 1), 1e-9), 1 - 1e-9)
+    odds = (
+        _log_factorial(target) + _log_factorial(bad) - _log_factorial(target + bad + 1)
+        - target * math.log(share) - bad * math.log1p(-share)
+        + math.log(DIFFERENT / (1 - DIFFERENT))
+    )
+    return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+
+
+def log_ratios(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """Log ratio of the target model to the raw model for each bucket, times its evidence."""
+    raw, target, _ = counts.astype(np.float64)
     expected = raw * (documents[1] / max(documents[0], 1))
-    far = target - expected <= -MIN_SCORE * np.sqrt(expected)
-    # Copies nobody labelled look missing from the target as well, but not present in the bad.
-    seen = (bad >= MIN_BAD) & (target * documents[2] <= MAX_SHARE * bad * documents[1])
-    ratios = np.log((target + PRIOR) / (expected + PRIOR))
-    return np.where(far & seen & (ratios < 0), ratios, 0).astype(np.float32)
+    prior = PRIOR * math.sqrt(max(documents[1], 1))
+    ratios = np.log((target + prior) / (expected + prior))
+    return (evidence(counts, documents) * ratios).astype(np.float32)
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
@@ -205,9 +235,12 @@ def weigh(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
         for batch in batches:
             for part in W.slices(batch, "text"):
                 buckets, owner = ngrams(part.column("text"))
-                sums = np.bincount(owner, table[buckets].astype(np.float64), part.num_rows)
+                values = table[buckets].astype(np.float64)
                 sizes = np.bincount(owner, minlength=part.num_rows)
-                sums *= USUAL / np.maximum(USUAL, sizes)
+                losses = np.bincount(owner, np.minimum(values, 0), part.num_rows)
+                gains = np.bincount(owner, values, part.num_rows) - losses
+                sums = (losses * (USUAL / np.maximum(USUAL, sizes))
+                        + gains * (GAINS / np.maximum(GAINS, sizes)))
                 kinds = known.of(part.column("doc_id").cast(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(sums), pa.array(kinds.astype(np.int8))],

@@ -156,6 +156,34 @@ def test_selection_takes_k_and_all_without_labels(spark):
     assert quality.selected(docs.limit(0), labels).count() == 0
 
 
+def test_every_bucket_weighs_by_its_evidence():
+    # Of a rare word: expected count 2, never in the target, in six labelled bad documents.
+    counts = np.array([[8, 2, 1000, 0, 900], [0, 0, 250, 0, 270], [6, 0, 60, 0, 10]])
+    rare, unlabelled, even, none, good = quality.log_ratios(counts, np.array([4000, 1000, 240]))
+    assert rare < -1 and -0.1 < unlabelled < 0 and even == none == 0 and good > 0.1
+
+
+def test_rare_bad_words_and_word_pairs_are_found(spark):
+    dice = random.Random(6)
+    rows, labels = [], []
+    for i in range(1600):
+        words = [f"w{dice.randrange(300)}" for _ in range(30)]
+        if i % 100 == 0:
+            words[4] = "grosero"
+        elif i % 10 == 5:
+            words[7:9] = ["you", "there"]
+        else:
+            words[5], words[20] = "you", "there"
+        rows.append(" ".join(words))
+        if i % 8 < 5:
+            labels.append((i, 1, int(i % 100 == 0 or i % 10 == 5)))
+    kept = {r["doc_id"] for r in quality.selected(H.documents(spark, rows), spark.createDataFrame(
+        labels, "doc_id long, quality int, toxic int")).collect()}
+    rare, pairs = set(range(0, 1600, 100)), set(range(5, 1600, 10))
+    assert len(kept & rare) <= 3 and len(kept & pairs) <= 0.1 * len(pairs)
+    assert len(kept) >= 0.9 * (1600 - len(rare) - len(pairs))
+
+
 def test_counts_of_ngrams_are_those_of_documents(spark):
     docs, labels = labelled(spark)
     counts, documents = quality.count_ngrams(docs, quality.sample_labels(labels))
