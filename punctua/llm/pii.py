@@ -217,11 +217,12 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> list[tuple[str, int, i
     return added
 
 
-_DIGIT_HASHES = W.hash_spans(
-    np.frombuffer("".join(DIGIT_WORDS).encode(), np.uint8),
-    *(lambda n: (np.cumsum(n) - n, np.cumsum(n)))(np.array(list(map(len, DIGIT_WORDS)))),
+# Every match of the spelled-digit and worded patterns holds one of these between ASCII separators.
+_TELLING = [*DIGIT_WORDS, "dot", "point"]
+_TELLING_HASHES = W.hash_spans(
+    np.frombuffer("".join(_TELLING).encode(), np.uint8),
+    *(lambda n: (np.cumsum(n) - n, np.cumsum(n)))(np.array(list(map(len, _TELLING)))),
 )
-_DOT_HASH = W.hash_spans(np.frombuffer(b"dot", np.uint8), np.array([0]), np.array([3]))
 
 
 class Suspects:
@@ -245,12 +246,8 @@ class Suspects:
         opening = np.isin(data, np.frombuffer(b"([{<", np.uint8))
         self.odd |= self._any(opening)
         words = W.split_words(column, W.ALPHANUMERIC)
-        spelled = np.isin(words.hashes, _DIGIT_HASHES)
-        inner = np.zeros(len(spelled), bool)
-        inner[1:] = spelled[1:] & spelled[:-1]
-        for mark in (inner, words.hashes == _DOT_HASH[0]):
-            sums = np.concatenate(([0], np.cumsum(mark)))
-            self.odd |= sums[words.bounds[1:]] > sums[words.bounds[:-1]]
+        sums = np.concatenate(([0], np.cumsum(np.isin(words.hashes, _TELLING_HASHES))))
+        self.odd |= sums[words.bounds[1:]] > sums[words.bounds[:-1]]
 
     def _any(self, mark: np.ndarray) -> np.ndarray:
         sums = np.concatenate(([0], np.cumsum(mark)))

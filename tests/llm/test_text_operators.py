@@ -184,6 +184,20 @@ def test_disguised_identifiers_map_back(text, kind, part):
     assert [(k, text[a:b], plain) for k, a, b, plain in pii.spans_of(text)] == [(kind, part, False)]
 
 
+def test_the_filter_loses_no_disguised_identifier(spark):
+    texts = [
+        "eight point eight point eight point eight", "is One point one Point one point one ok",
+        "×one dot two dot three dot four×", "call plus one two-three four five six seven eight nine zero one",
+        "mail jоhn.smith＠exаmple․com now", "ask john (at) example [dot] com.",
+        "jane at mail dot example dot org!", "pay ４１１１ １１１１ １１１１ １１１１",
+        "is one nine two dot one six eight dot one dot two zero ok",
+    ]
+    found = {r["doc_id"]: r["spans"] for r in pii.find_pii(H.documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        wanted = pii.spans_of(text)
+        assert wanted and [tuple(s) for s in found[i]] == wanted
+
+
 def test_prose_has_no_disguised_identifiers():
     for text in ("look at this dot", "one or two (at) most", "see <dot>", "at three dot four"):
         assert pii.spans_of(text) == []
