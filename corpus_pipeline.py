@@ -33,8 +33,11 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source; none of them goes."""
-    cleaned = lines.drop_boilerplate(docs, F.col("source"), F.col("text"))
+    """Documents without the boilerplate lines of their source; none of them goes.
+
+    Copies count as one document, or they would lose their text before one of them is kept.
+    """
+    cleaned = lines.drop_boilerplate(docs, F.col("source"), F.col("text"), fold_copies=True)
     return cleaned.withColumns({
         "text": F.col("text_kept"),
         "n_chars": F.when(F.col("n_dropped") == 0, F.col("n_chars"))

@@ -9,6 +9,9 @@ A host has fewer boilerplate lines than its mean page has lines, times ``1 / rat
 pages it has: so these lists are gathered per host and met with whole pages, and no line is
 shuffled twice. A null host is a host
 of its own; a null text stays null and counts as a page.
+
+With ``fold_copies`` pages of equal text count as one page of their host, so that copies do not
+make their own text boilerplate; dropping copies is left to a later step.
 """
 
 from __future__ import annotations
@@ -50,16 +53,26 @@ def _mark(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                fold_copies: bool = False) -> DataFrame:
     """``(_host, _marks)``: hashes of the boilerplate lines of each host that has any.
 
     ``pages`` has ``_host`` and ``_lines``. Each page counts a line once; partial counts are made
-    before the shuffle, so a line on every page is one row per task.
+    before the shuffle, so a line on every page is one row per task. To fold copies, the lines'
+    hashes are stored with one of the whole page; copies meet by host and page, one row per task.
     """
     marks = F.array_distinct(F.transform(F.filter("_lines", lambda x: F.trim(x) != ""), _mark))
-    totals = pages.groupBy("_host").agg(F.count("*").alias("_pages"))
+    marked = pages.select("_host", marks.alias("_lines_of"), *([
+        F.xxhash64("_lines", F.col("_lines").isNull()).alias("_page")] if fold_copies else []))
+    if fold_copies:
+        marked = keep(marked, "marked")
+        totals = marked.select("_host", "_page").distinct()
+        marked = marked.groupBy("_host", "_page").agg(F.first("_lines_of").alias("_lines_of"))
+    else:
+        totals = marked
+    totals = totals.groupBy("_host").agg(F.count("*").alias("_pages"))
     counts = (
-        pages.select("_host", F.explode(marks).alias("_mark"))
+        marked.select("_host", F.explode("_lines_of").alias("_mark"))
         .groupBy("_host", "_mark").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_pages)
     )
     same = F.col("c._host").eqNullSafe(F.col("t._host"))
@@ -71,7 +84,7 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
 
 
 def drop_boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
+                     min_pages: int = MIN_PAGES, fold_copies: bool = False) -> DataFrame:
     """All columns of ``pages`` with ``text_kept``, ``n_lines`` and ``n_dropped``.
 
     The lists are stored first, so that the planner sees their true size: a small table of them is
@@ -80,7 +93,7 @@ def drop_boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float
     pages = pages.drop("text_kept", "n_lines", "n_dropped")
     cut = pages.withColumns({"_host": host, "_lines": F.split(text, "\n")})
     found = keep(
-        boilerplate(cut.select("_host", "_lines"), ratio, min_pages), "boilerplate"
+        boilerplate(cut.select("_host", "_lines"), ratio, min_pages, fold_copies), "boilerplate"
     ).withColumnRenamed("_host", "_at")
     joined = cut.join(found, F.col("_host").eqNullSafe(F.col("_at")), "left")
     # Most pages hold none of the marks: one set operation tells, and they stay as they are.

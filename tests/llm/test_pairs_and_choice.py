@@ -194,6 +194,18 @@ def test_counts_of_ngrams_are_those_of_documents(spark):
     assert (counts[0] == wanted).all() and documents[0] == 1202
 
 
+def test_copies_keep_their_text_until_one_is_kept(spark):
+    copy = " ".join(f"word{i}" for i in range(40)) + "\nsecond line of the copies"
+    texts = ["menu\n" + copy] * 6 + [f"menu\nown {i} " + "x y z " * i for i in range(9)] + [None, None]
+    cleaned = corpus_pipeline.keep(
+        corpus_pipeline.drop_lines(spark, H.documents(spark, texts), ""), "cleaned")
+    assert {r["text"] for r in cleaned.where("doc_id < 6").collect()} == {copy}
+    assert cleaned.where("text like '%menu%'").isEmpty() and cleaned.count() == len(texts)
+    assert cleaned.where("text is null").count() == 2
+    kept = corpus_pipeline.drop_near_copies(spark, cleaned, "").where("doc_id < 6").collect()
+    assert [(r["doc_id"], r["text"]) for r in kept] == [(0, copy)]
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the given tables")
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
