@@ -6,10 +6,11 @@ hashes of position, role and text, in two independent 64-bit parts. A conversati
 hash is an inner prefix hash of another is dropped by an anti-join; of equal conversations the one
 with the least id stays. What remains is rendered. DataFrame functions only.
 
-Turns are ordered by turn number (null first), then content; positions count them, so gaps do not
-matter. Rows that repeat a turn exactly count once. Rows without conv_id are one conversation, of
-id null; a null role or text is a value of its own and renders as nothing. A conversation is cut
-into blocks of ``BLOCK`` turn numbers, which are numbered and summed on their own and raised by
+Turns are ordered by turn number (null first), then role and text; positions count them, so gaps do
+not matter. Rows that repeat a turn exactly count once. Rows without conv_id are one conversation, of
+id null; a null role or text is a value of its own and renders as nothing. All rows are sorted once
+in ordered ranges, whatever conversation they belong to, and numbered by the ranges' totals. A
+conversation is then cut into blocks of ``BLOCK`` rows, which are summed on their own and raised by
 the totals of the blocks before; a rendering has a row for each block. Ordinary ones are one block.
 """
 
@@ -30,51 +31,60 @@ def _turns(rows: DataFrame) -> DataFrame:
         F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv"),
         F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
         F.col("text").cast("string").alias("text"),
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**62))))
+    )
 
 
-def _before(table: DataFrame, sums: list[str]) -> DataFrame:
-    """Totals of the earlier blocks of a conversation, one small row for each block."""
-    over = Window.partitionBy(*_ID).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return table.select(*_ID, "block", *[
+def _before(table: DataFrame, part: str, sums: list[str]) -> DataFrame:
+    """Totals of the earlier parts of a conversation, one small row for each part."""
+    over = Window.partitionBy(*_ID).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    return table.select(*_ID, part, *[
         F.coalesce(F.sum(name).over(over), F.lit(0)).alias(f"{name}_before") for name in sums])
 
 
-def prefixes(rows: DataFrame) -> DataFrame:
+def places(rows: DataFrame) -> DataFrame:
+    """Stored ``(none, conv, place, block, role, text)``: the distinct turns, numbered from 1.
+
+    A range's rows are numbered by the sort's task as they are written: no conversation is
+    gathered, and a conversation has one small row for each range it reaches into.
+    """
+    order = [*_ID, "turn", "role", "text"]
+    ranged = _turns(rows).distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    row = F.monotonically_increasing_id()
+    stored = keep(
+        ranged.withColumn("row", row).withColumn("range", F.shiftright("row", 33)), "turns")
+    runs = stored.groupBy(*_ID, "range").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    heads = keep(
+        runs.join(_before(runs, "range", ["n"]), [*_ID, "range"])
+        .select(*_ID, "range", (F.col("n_before") + 1 - F.col("first")).alias("raise")), "heads")
+    return keep(
+        stored.join(heads, [*_ID, "range"]).withColumn("place", F.col("row") + F.col("raise"))
+        .select(*_ID, "place", F.floor((F.col("place") - 1) / BLOCK).alias("block"),
+                "role", "text"), "places",
+    )
+
+
+def prefixes(placed: DataFrame) -> DataFrame:
     """Stored ``(none, conv, place, p1, p2)``: prefix hashes of every conversation at each turn."""
     content = [F.coalesce("role", F.lit("")), F.col("role").isNull(),
                F.coalesce("text", F.lit("")), F.col("text").isNull()]
-    narrow = keep(
-        _turns(rows).select(
-            *_ID, "block", "turn", F.xxhash64(*content).alias("a"),
-            F.xxhash64(F.lit("second"), *content).alias("b"),
-        ).distinct(), "turns",
-    )
-    inside = Window.partitionBy(*_ID, "block").orderBy(F.asc_nulls_first("turn"), "a", "b")
-    numbers = narrow.groupBy(*_ID, "block").agg(F.count("*").alias("n"))
-    placed = keep(
-        narrow.withColumn("rank", F.row_number().over(inside))
-        .join(_before(numbers, ["n"]), [*_ID, "block"])
-        .withColumn("place", F.col("rank") + F.col("n_before")).select(
-            *_ID, "block", "place",
-            F.xxhash64("place", "a", "b").cast("decimal(38,0)").alias("h1"),
-            F.xxhash64(F.lit("second"), "place", "b", "a").cast("decimal(38,0)").alias("h2"),
-        ), "placed",
-    )
-    totals = placed.groupBy(*_ID, "block").agg(F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+    hashed = keep(placed.select(
+        *_ID, "block", "place", F.xxhash64("place", *content).cast("decimal(38,0)").alias("h1"),
+        F.xxhash64(F.lit("second"), "place", *content).cast("decimal(38,0)").alias("h2"),
+    ), "hashed")
+    totals = hashed.groupBy(*_ID, "block").agg(F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
     upto = Window.partitionBy(*_ID, "block").orderBy("place").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return keep(
-        placed.withColumns({"s1": F.sum("h1").over(upto), "s2": F.sum("h2").over(upto)})
-        .join(_before(totals, ["h1", "h2"]), [*_ID, "block"])
+        hashed.withColumns({"s1": F.sum("h1").over(upto), "s2": F.sum("h2").over(upto)})
+        .join(_before(totals, "block", ["h1", "h2"]), [*_ID, "block"])
         .select(*_ID, "place", (F.col("s1") + F.col("h1_before")).alias("p1"),
                 (F.col("s2") + F.col("h2_before")).alias("p2")), "prefixes",
     )
 
 
-def maximal(rows: DataFrame) -> DataFrame:
+def maximal(placed: DataFrame) -> DataFrame:
     """``(none, conv, n_turns)`` of the conversations that no other one contains as a prefix."""
-    hashes = prefixes(rows)
+    hashes = prefixes(placed)
     ends = hashes.groupBy(*_ID).agg(F.max(F.struct("place", "p1", "p2")).alias("last"))
     inner = (
         hashes.join(ends, _ID).where(F.col("place") < F.col("last.place"))
@@ -93,13 +103,13 @@ def _line(turn: Column) -> Column:
 
 def render(rows: DataFrame) -> DataFrame:
     """``(conv_id, part, n_turns, text)`` of the maximal conversations, a row for each block."""
-    chosen = keep(maximal(rows), "maximal")
-    parts = _turns(rows).join(chosen, _ID).groupBy(*_ID, "block", "n_turns").agg(
-        F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
-    order = Window.partitionBy(*_ID).orderBy("block")
+    placed = places(rows)
+    chosen = keep(maximal(placed), "maximal")
+    parts = placed.join(chosen, _ID).groupBy(*_ID, "block", "n_turns").agg(
+        F.array_sort(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))
     return parts.select(
         F.when(~F.col("none"), F.col("conv")).alias("conv_id"),
-        (F.row_number().over(order) - 1).cast("long").alias("part"), "n_turns",
+        F.col("block").cast("long").alias("part"), "n_turns",
         F.array_join(F.transform("turns", _line), "").alias("text"),
     )
 

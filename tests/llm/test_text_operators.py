@@ -271,3 +271,22 @@ def test_chats_keep_maximal_conversations(spark):
     six = sorted((r["part"], r["text"]) for r in found if r["conv_id"] == 6)
     assert "".join(t for _, t in six) == "".join(f"<|u|>\n{t}<|end|>\n" for t in range(3000))
     assert chats.render(frame.limit(0)).count() == 0
+
+
+def test_chats_cut_a_large_conversation_by_rows(spark):
+    def line(text):
+        return f"<|u|>\n{text}<|end|>\n"
+
+    said = [(t, f"{t} {i:05d}") for t in (None, *range(8)) for i in range(500)]
+    rows = [(None, t, "u", x) for t, x in said] + [(1, None, "u", f"{i:05d}") for i in range(2500)]
+    rows += [(2, None, "u", f"{i:05d}") for i in range(1300)] + [(3, 0, "u", "one")] * 5000
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {}
+    for r in sorted(chats.render(frame).collect(), key=lambda r: r["part"]):
+        assert 0 < r["text"].count("<|end|>") <= chats.BLOCK
+        found.setdefault((r["conv_id"], r["n_turns"]), []).append((r["part"], r["text"]))
+    assert set(found) == {(None, 4500), (1, 2500), (3, 1)}
+    assert all([p for p, _ in parts] == list(range(len(parts))) for parts in found.values())
+    texts = {key[0]: "".join(t for _, t in parts) for key, parts in found.items()}
+    assert texts[None] == "".join(line(x) for _, x in said)
+    assert texts[1] == "".join(line(f"{i:05d}") for i in range(2500)) and texts[3] == line("one")
