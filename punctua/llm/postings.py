@@ -169,15 +169,11 @@ class Block:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(starts), np.concatenate(owners)
 
-    def near(self, terms: np.ndarray, distance: int, rarest: int) -> np.ndarray:
-        """Positions of the rarest term with the next ``rarest - 1`` terms within ``distance``.
-
-        All within one document. Nothing when a term of the query does not occur here.
-        """
-        numbers = self.lookup(np.unique(terms))
+    def near(self, terms: np.ndarray, distance: int) -> np.ndarray:
+        """Positions of the first term with all others within ``distance`` in its document."""
+        numbers = self.lookup(terms)
         if not len(numbers) or (numbers < 0).any():
             return np.zeros(0, np.int64)
-        numbers = numbers[np.argsort(self.counts[numbers], kind="stable")][:rarest]
         at, _ = self.occurrences(numbers[:1])
         for number in numbers[1:]:
             owner = self.document(at)
@@ -320,18 +316,43 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     )
 
 
+def _term_counts(index: DataFrame, terms: np.ndarray) -> dict[int, int]:
+    """Occurrences over the whole index of those of the given terms that it holds."""
+    shared = index.sparkSession.sparkContext.broadcast(terms)
+    form = pa.schema([("term", pa.int64()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(shared.value), np.int64)
+        for _, _, block in _open(batches):
+            numbers = block.lookup(shared.value)
+            there = numbers >= 0
+            sums[there] += block.counts[numbers[there]]
+        held = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shared.value[held].view(np.int64)), pa.array(sums[held])], schema=form)
+
+    rows = index.mapInArrow(count, "term long, n long").groupBy("term").agg(
+        F.sum("n").alias("n")).collect()
+    return {row["term"] % 2**64: row["n"] for row in rows}
+
+
 def proximity_hits(index: DataFrame, items: DataFrame, distance: int = 20, rarest: int = 3,
                    pass_bytes: int = PASS_BYTES) -> DataFrame:
     """Places where the ``rarest`` rarest terms of an item stand within ``distance`` words.
 
-    Rows (doc_id, item, position): the word position of the rarest term in its document. An item
-    matches a block only if all its terms occur there. Rarity is that of the block.
+    Rows (doc_id, item, position): the word position of the rarest term in its document. Rarity is
+    that of the whole index, however it is cut; terms of an item that it does not hold are left out.
     """
     spark = index.sparkSession
     found = None
     for ids, texts in _passes(items, pass_bytes):
         split = W.split_words(pa.array(texts, pa.large_string()), W.ALPHANUMERIC)
-        terms = [split.hashes[a:b] for a, b in zip(split.bounds, split.bounds[1:])]
+        counts = _term_counts(index, np.unique(split.hashes))
+        terms = [
+            np.array(sorted((t for t in set(split.hashes[a:b].tolist()) if t in counts),
+                            key=lambda t: (counts[t], t))[:rarest], np.uint64)
+            for a, b in zip(split.bounds, split.bounds[1:])
+        ]
         shared = spark.sparkContext.broadcast((["" if i is None else str(i) for i in ids], terms))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -339,7 +360,7 @@ def proximity_hits(index: DataFrame, items: DataFrame, distance: int = 20, rares
             for _, doc_ids, block in _open(batches):
                 rows = []
                 for name, query in zip(names, queries):
-                    for at in block.near(query, distance, rarest):
+                    for at in block.near(query, distance):
                         place = int(block.document(at))
                         rows.append({"doc_id": doc_ids[place], "item": name,
                                      "position": int(at - block.bounds[place])})

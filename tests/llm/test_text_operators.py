@@ -138,6 +138,20 @@ def test_proximity(spark):
     assert [(r["doc_id"], r["item"]) for r in found] == [(0, "1")]
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_proximity_does_not_depend_on_blocks(spark, parts):
+    texts = ["rare x mid y common", "common " * 9 + "other", "mid common", "other " * 9 + "last",
+             "rare " + "w " * 30 + "mid common"]
+    docs = H.documents(spark, texts).repartitionByRange(parts, "doc_id")
+    index = postings.keep(postings.build_index(docs), "index")
+    items = spark.createDataFrame(
+        [(1, "rare mid common other last"), (2, "rare mid common nowhere"), (3, "nowhere")],
+        "item_id long, text string")
+    found = postings.proximity_hits(index, items, distance=5).collect()
+    # Item 1: last stands alone. Item 2: a term the documents do not hold does not matter.
+    assert [(r["doc_id"], r["item"], r["position"]) for r in found] == [(0, "2", 0)]
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
