@@ -97,6 +97,27 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, block):
     assert pivots.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_recall_of_the_registered_parameters(spark):
+    dice, points, labels = np.random.default_rng(9), [], []
+    for number in range(500):
+        base = dice.normal(size=64)
+        for _ in range(dice.integers(1, 6)):
+            points.append(base + dice.normal(size=64) * dice.choice([0.05, 0.1, 0.12]))
+            labels.append(number % 2)
+    points, labels = np.array(points), np.array(labels)
+    units = points / np.linalg.norm(points, axis=1)[:, None]
+    linked = (units @ units.T >= pivots.COSINE) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(linked, False)
+    frame = spark.createDataFrame(
+        [(i, v, int(n)) for i, (v, n) in enumerate(zip(points.tolist(), labels))],
+        "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: r["n_links"] for r in pivots.near_vectors(frame).collect()}
+    recall = sum(found.values()) / linked.sum()
+    print(f"{len(points)} vectors, {linked.sum() // 2} links, recall {recall:.4f}")
+    assert all(found[i] <= n for i, n in enumerate(linked.sum(axis=1).tolist()))
+    assert linked.sum() > 1000 and recall >= 0.9
+
+
 def test_shards_are_gapless_and_grow_into_the_new_one(spark):
     docs = H.documents(spark, ["é" * (i % 7) if i % 5 else None for i in range(3000)],
                        ids=[i if i % 100 else None for i in range(3000)])
