@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators."""
 
-from punctua.llm import chats, lines
+from punctua.llm import chats, lines, rules
 from punctua.llm.bpe import op2_byte_bpe
 from punctua.llm.codes import op6_token_codes
 from punctua.llm.minhash import op4_near_duplicates
@@ -21,7 +21,12 @@ QUERIES = {
     "op8_chat_formatting": chats.op8_chat_formatting,
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
+    "op11_quality_rules": rules.op11_quality_rules,
 }
 
 # The others have no plain SQL: they are tested against brute force.
-SQL = {"op1_line_dedup": lines.SQL, "op8_chat_formatting": chats.SQL}
+SQL = {
+    "op1_line_dedup": lines.SQL,
+    "op8_chat_formatting": chats.SQL,
+    "op11_quality_rules": rules.SQL,
+}

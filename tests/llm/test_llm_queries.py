@@ -39,5 +39,5 @@ def test_rows_and_columns(spark, name):
 
 
 def test_all_are_registered():
-    assert set(QUERIES) == set(SQL) | set(COLUMNS) and len(QUERIES) == 10
+    assert set(QUERIES) == set(SQL) | set(COLUMNS) and len(QUERIES) == 11
     assert {*QUERIES, "pipeline"} <= set(driver.queries())

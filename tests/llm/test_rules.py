@@ -1,0 +1,111 @@
+"""The cascade of quality rules against plain Python, and its order."""
+
+import random
+import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+
+import helpers as H
+from punctua.llm import rules as R
+from pyspark.sql import functions as F
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def facts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    seen = Counter(windows)
+    repeated = {i + k for i, window in enumerate(windows) if seen[window] > 1 for k in range(5)}
+    chars = sum(map(len, words))
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    dup_lines = len(lines) - len(set(lines))
+    failed = len(words) < 10 or 100 * len(repeated) > 20 * len(words)
+    pairs = Counter(zip(words, words[1:]))
+    rejected = [
+        len(lines) >= 5 and 10 * sum(line.strip(" \t\n\v\f\r")[0] in "-*" for line in lines)
+        > 9 * len(lines),
+        2 * len(re.findall("[A-Z]", text)) > len(re.findall("[A-Za-z]", text)),
+        2 * len(re.findall("[0-9]", text)) > chars,
+        any(len(word.encode()) > 1000 for word in words),
+        len(words) > 20 and 5 * max(pairs.values()) > len(words) - 1,
+        len(lines) >= 4 and 2 * dup_lines > len(lines),
+        10 * sum(word.endswith("!") for word in words) > 3 * len(words),
+        len(words) > 10 and 10 * sum(a == b for a, b in zip(words, words[1:]))
+        > 4 * (len(words) - 1),
+        10 * symbols > len(words),
+        100 * sum(bool(re.search(r"[A-Za-z]|[^\x00-\x7F]", word)) for word in words)
+        < 60 * len(words),
+        chars < 2 * len(words) or chars > 20 * len(words),
+    ]
+    return (len(words), chars, symbols, dup_lines, len(repeated), failed,
+            not failed and not any(rejected))
+
+
+def sample_texts():
+    dice = random.Random(11)
+    parts = ["the", "The", "été", "ab!", "AB", "12", "- x", "# a", "über", "\n", "\n- ", " ", "\t", "|",
+             "日本語", "a", "wordy", "\x1c", "x" * 60]
+    texts = ["".join(dice.choice(parts) + dice.choice([" ", " ", "", "\n"])
+                     for _ in range(dice.randrange(60))) for _ in range(1500)]
+    for _ in range(300):  # few different words: long repeats, repeated lines and pairs
+        few = dice.sample(parts, 4)
+        texts.append(" ".join(dice.choice(few) for _ in range(dice.randrange(80))))
+    plain = "one two three four five six seven eight nine ten eleven twelve"
+    return texts + [None, "", " ", "\n\n", plain, plain, f"{plain}\n{plain}", "w " * 5_000,
+                    "y" * 30_000, f"{plain} {'z' * 1001}", "\n".join([plain] * 7),
+                    "".join(f"word{i} " for i in range(60_000))]
+
+
+def test_equals_plain_python(spark):
+    texts = sample_texts()
+    docs = H.documents(spark, texts).repartition(5)
+    found = {r["doc_id"]: r for r in R.judge(docs).collect()}
+    for i, text in enumerate(texts):
+        row = found[i]
+        got = tuple(row[name] for name in [*R.COUNTS, "base_failed", "kept"])
+        assert got == facts(text), (text or "")[:200]
+        assert row["text"] == text
+    assert {row["kept"] for row in found.values()} == {True, False}
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_order_changes_no_verdict(turned):
+    column = pa.array(sample_texts(), pa.string())
+    batch = pa.RecordBatch.from_arrays([column], ["text"])
+    ordered = R.RULES[::-1] if turned else R.RULES
+    (_, added), = R._cascade(ordered)([batch])
+    assert added[-1].to_pylist() == [facts(text)[-1] for text in column.to_pylist()]
+
+
+def test_order_is_rejection_per_cost_on_what_is_left():
+    # Rule 0 is dear and rejects most; rule 1 is cheap; all that rule 2 rejects rule 1 rejects too.
+    sets = {0: 50, 0b001: 30, 0b111: 10, 0b010: 5, 0b011: 5}
+    assert R.best_order([10.0, 1.0, 0.9], sets) == [1, 0, 2]
+    assert R.best_order([1.0, 1.0, 1.0], sets) == [0, 1, 2]
+    assert R.best_order([2.0, 1.0], {}) == [1, 0]
+
+
+def test_estimate_orders_by_the_sample(spark):
+    texts = ["fine words stand here in a row of more than ten " + str(i) for i in range(40)]
+    texts += ["THESE ARE ALL CAPITAL LETTERS IN A ROW OF MORE THAN " + str(i) for i in range(60)]
+    ordered = R.estimate(H.documents(spark, texts))
+    names = [rule.name for rule in ordered]
+    assert sorted(names) == sorted(rule.name for rule in R.RULES) and names[0] == "capitals"
+
+
+def test_clashing_columns_null_ids_repeated_rows_and_empty_tables(spark):
+    plain = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(None, plain, "a", "b"), (1, plain, "a", "b"), (1, plain, "a", "b"), (2, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string, `my col.x` string")
+    docs = docs.withColumn("text_", F.lit(5)).withColumn("at", F.struct(F.lit(1).alias("a b")))
+    out = R.judge(docs)
+    assert out.columns == ["doc_id", "text", "my col.x", "text_", "at", *R.COUNTS, "base_failed", "kept"]
+    assert sorted(r["kept"] for r in out.collect()) == [False, True, True, True]
+    assert {r["at"]["a b"] for r in out.collect()} == {1}
+    assert R.judge(docs.limit(0)).count() == 0
+    assert R.judge(docs.withColumnRenamed("text", "body"), text="body").where("kept").count() == 3
