@@ -8,6 +8,7 @@ from punctua.llm.pii import op10_pii
 from punctua.llm.pivots import op7_near_vectors
 from punctua.llm.postings import op9_decontamination
 from punctua.llm.quality import op5_quality
+from punctua.llm.runs import op13_periodic_runs
 from punctua.llm.shards import op3_sharding
 
 QUERIES = {
@@ -22,6 +23,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
     "op11_quality_rules": rules.op11_quality_rules,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # The others have no plain SQL: they are tested against brute force.

@@ -21,6 +21,8 @@ COLUMNS = {
     "op7_near_vectors": ["vec_id", "n_links", "component_id", "kept"],
     "op9_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op10_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op13_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                           "runs_sha256", "collapsed_sha256"],
 }
 
 
@@ -39,5 +41,5 @@ def test_rows_and_columns(spark, name):
 
 
 def test_all_are_registered():
-    assert set(QUERIES) == set(SQL) | set(COLUMNS) and len(QUERIES) == 11
+    assert set(QUERIES) == set(SQL) | set(COLUMNS) and len(QUERIES) == 12
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
