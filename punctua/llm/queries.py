@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators."""
 
-from punctua.llm import chats, lines, rules
+from punctua.llm import chats, lines, ranking, rules
 from punctua.llm.bpe import op2_byte_bpe
 from punctua.llm.codes import op6_token_codes
 from punctua.llm.minhash import op4_near_duplicates
@@ -23,6 +23,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_pii": op10_pii,
     "op11_quality_rules": rules.op11_quality_rules,
+    "op12_lexical_search": ranking.op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -31,4 +32,5 @@ SQL = {
     "op1_line_dedup": lines.SQL,
     "op8_chat_formatting": chats.SQL,
     "op11_quality_rules": rules.SQL,
+    "op12_lexical_search": ranking.SQL,
 }

@@ -41,5 +41,5 @@ def test_rows_and_columns(spark, name):
 
 
 def test_all_are_registered():
-    assert set(QUERIES) == set(SQL) | set(COLUMNS) and len(QUERIES) == 12
+    assert set(QUERIES) == set(SQL) | set(COLUMNS) and len(QUERIES) == 13
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
