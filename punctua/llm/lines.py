@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctua.llm.shared import keep
+from punctua.llm.shared import keep, quoted
 
 RATIO, MIN_PAGES = 0.05, 3
 
@@ -28,19 +28,48 @@ BLOCK_TAGS = "p|div|li|ul|ol|tr|table|h[1-6]|br|nav|article|section|header|foote
 NO_TEXT = "script|style"
 
 
+# What is no text: the elements above with their content, and comments. One that is never closed
+# runs to the end of the page, as in a browser, so no pattern looks at a character twice.
+HIDDEN = "(?is)<(?:" + "|".join(
+    [*[f"{tag}[^<>]*>.*?(?:</{tag}>|\\z)" for tag in NO_TEXT.split("|")], "!--.*?(?:-->|\\z)"]) + ")"
+BLOCK = f"(?i)</?(?:{BLOCK_TAGS})(?:[ /][^<>]*)?>"
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+            ("&amp;", "&")]
+
+
+def _tidy(text: Column) -> Column:
+    """White space around line feeds goes, and with it blank lines; the first and last line stay.
+
+    Line by line, since a pattern would try every space of a long run. The outer function only
+    names the lines, so that the text is made once.
+    """
+    spaces = F.lit(" \t\r")
+
+    def joined(lines: Column) -> Column:
+        count = F.size(lines)
+        inner = F.filter(
+            F.transform(F.slice(lines, 2, F.greatest(count - 2, F.lit(0))),
+                        lambda line: F.trim(line, spaces)),
+            lambda line: line != "")
+        first = F.rtrim(F.element_at(lines, 1), spaces)
+        last = F.ltrim(F.element_at(lines, -1), spaces)
+        several = F.array_join(F.concat(F.array(first), inner, F.array(last)), "\n")
+        return F.when(count > 1, several).otherwise(F.element_at(lines, 1))
+
+    return F.element_at(F.transform(F.array(F.split(text, "\n")), joined), 1)
+
+
 def page_text(html: Column) -> Column:
-    """Text lines of a page: block elements end lines, other tags go, entities are read."""
-    text = html
-    for tag in NO_TEXT.split("|"):
-        text = F.regexp_replace(text, f"(?is)<{tag}[^>]*>.*?</{tag}>", " ")
-    text = F.regexp_replace(text, "(?s)<!--.*?-->", " ")
-    text = F.regexp_replace(text, f"(?i)</?(?:{BLOCK_TAGS})(?:[ /][^>]*)?>", "\n")
-    text = F.regexp_replace(text, "<[^>]*>", "")
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                       ("&#39;", "'"), ("&amp;", "&")):
+    """Text lines of a page: block elements end lines, other tags go, entities are read.
+
+    A tag holds no ``<``. Every step is linear in the page, whatever it holds.
+    """
+    text = F.regexp_replace(html, HIDDEN, " ")
+    text = F.regexp_replace(text, BLOCK, "\n")
+    text = F.regexp_replace(text, "<[^<>]*>", "")
+    for name, char in ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(char))
-    text = F.regexp_replace(text, "[ \t\r]*\n[ \t\r\n]*", "\n")
-    return F.trim(text)
+    return F.trim(_tidy(text))
 
 
 def host_of(url: Column) -> Column:
@@ -87,11 +116,17 @@ def drop_boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float
                      min_pages: int = MIN_PAGES, fold_copies: bool = False) -> DataFrame:
     """All columns of ``pages`` with ``text_kept``, ``n_lines`` and ``n_dropped``.
 
+    Columns of these three names are replaced, all others stay, whatever their names.
+
     The lists are stored first, so that the planner sees their true size: a small table of them is
     broadcast, a larger one is joined by host with skewed hosts split.
     """
     pages = pages.drop("text_kept", "n_lines", "n_dropped")
-    cut = pages.withColumns({"_host": host, "_lines": F.split(text, "\n")})
+    # The caller's columns travel under names of their own, so that any name of theirs is safe.
+    own = [f"c{i}" for i in range(len(pages.columns))]
+    cut = pages.select(
+        *[F.col(quoted(name)).alias(c) for name, c in zip(pages.columns, own)],
+        host.alias("_host"), text.alias("_text"), F.split(text, "\n").alias("_lines"))
     found = keep(
         boilerplate(cut.select("_host", "_lines"), ratio, min_pages, fold_copies), "boilerplate"
     ).withColumnRenamed("_host", "_at")
@@ -105,35 +140,31 @@ def drop_boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float
         joined.withColumn("_hits", hits)
         .withColumn("_kept", F.when(none, F.col("_lines")).otherwise(kept))
         .select(
-            *[F.col(f"`{c}`") for c in pages.columns],
-            F.when(none, text).otherwise(F.array_join("_kept", "\n")).alias("text_kept"),
-            F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("long")
-            .alias("n_dropped"),
-        )
+            *own,
+            F.when(none, F.col("_text")).otherwise(F.array_join("_kept", "\n")),
+            F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
+            F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("long"),
+        ).toDF(*pages.columns, "text_kept", "n_lines", "n_dropped")
     )
 
 
 def op1_line_dedup(spark, sf_dir: str) -> DataFrame:
     """All pages, their lines and hosts taken from html and url."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    lined = pages.select("page_id", host_of(F.col("url")).alias("host"),
-                         page_text(F.col("html")).alias("lines"))
+    # The texts are stored: they are read to count lines and again to drop them.
+    lined = keep(pages.select("page_id", host_of(F.col("url")).alias("host"),
+                              page_text(F.col("html")).alias("lines")), "lined")
     return drop_boilerplate(lined, F.col("host"), F.col("lines")).select(
         "page_id", "host", F.col("text_kept").alias("text"), "n_lines", "n_dropped"
     )
 
 
 def _sql() -> str:
-    text = "html"
-    for tag in NO_TEXT.split("|"):
-        text = f"regexp_replace({text}, '(?is)<{tag}[^>]*>.*?</{tag}>', ' ', 'g')"
-    text = f"regexp_replace({text}, '(?s)<!--.*?-->', ' ', 'g')"
-    text = (f"regexp_replace({text}, '(?i)</?(?:{BLOCK_TAGS})(?:[ /][^>]*)?>', chr(10), 'g')")
-    text = f"regexp_replace({text}, '<[^>]*>', '', 'g')"
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                       ("&#39;", "''"), ("&amp;", "&")):
-        text = f"replace({text}, '{name}', '{char}')"
+    text = f"regexp_replace(html, '{HIDDEN}', ' ', 'g')"
+    text = f"regexp_replace({text}, '{BLOCK}', chr(10), 'g')"
+    text = f"regexp_replace({text}, '<[^<>]*>', '', 'g')"
+    for name, char in ENTITIES:
+        text = f"replace({text}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
     text = f"trim(regexp_replace({text}, '[ \\t\\r]*\\n[ \\t\\r\\n]*', chr(10), 'g'))"
     host = r"regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)"
     return f"""
