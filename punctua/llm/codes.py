@@ -8,12 +8,14 @@ from one chunk per level, without decoding its neighbours.
 The file format is a Parquet table with one row per segment, a run of whole documents in
 ascending doc_id order: its documents and their places, and per level chunks, bitmap and ranks.
 Segments hold about ``SEGMENT_TOKENS`` tokens, or one longer document. A null doc_id comes first;
-documents of one id stand next to each other. A null text is an empty one.
+documents of one id stand next to each other, ordered by a hash of
+their text. A null text is an empty one.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +24,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +36,8 @@ CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_TOKENS = 65_536
 END = 1
+# Bytes of text that one task codes.
+PART_BYTES = 24 << 20
 
 SEGMENT = (
     "part int, segment int, offset long, ids array<long>, places array<int>, n_tokens long, "
@@ -67,9 +72,10 @@ class Codes:
                 return out
 
     def get(self, places: np.ndarray) -> np.ndarray:
-        """Ids at any places; each is read on its own."""
+        """Ids at any places; each is read on its own, whatever the length of the codes."""
         out, active = np.zeros(len(places), np.uint32), np.arange(len(places))
         places = places.astype(np.int64)
+        inside = np.arange(RANK_BITS // 8)
         for level, chunks in enumerate(self.chunks):
             out[active] |= chunks[places].astype(np.uint32) << np.uint32(CHUNK_BITS * level)
             bits = self.bitmaps[level]
@@ -78,11 +84,22 @@ class Codes:
             if not len(active):
                 break
             # Ones before a place: the directory, whole bytes of its block, and its own byte.
-            block = places // RANK_BITS
-            upto = np.concatenate(([0], np.cumsum(_ONES[bits], dtype=np.int64)))
-            inside = upto[places >> 3] - upto[block * (RANK_BITS // 8)]
-            low = bits[places >> 3] & ((1 << (places & 7)) - 1).astype(np.uint8)
-            places = self.ranks[level][block] + inside + _ONES[low]
+            block, byte = places // RANK_BITS, places >> 3
+            head = block * (RANK_BITS // 8)
+            whole = bits[np.minimum(head[:, None] + inside, len(bits) - 1)]
+            ones = np.where(inside < (byte - head)[:, None], _ONES[whole], 0).sum(1, dtype=np.int64)
+            low = bits[byte] & ((1 << (places & 7)) - 1).astype(np.uint8)
+            places = self.ranks[level][block] + ones + _ONES[low]
+        return out
+
+    def all(self) -> np.ndarray:
+        """All ids in order, level by level."""
+        out = self.chunks[-1].astype(np.uint32)
+        for chunks, bits in zip(self.chunks[-2::-1], self.bitmaps[-2::-1]):
+            on = np.unpackbits(bits, count=len(chunks), bitorder="little").view(bool)
+            ids = chunks.astype(np.uint32)
+            ids[on] |= out << np.uint32(CHUNK_BITS)
+            out = ids
         return out
 
 
@@ -95,6 +112,52 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def _letter_model(path: str):
+    """The library's BPE model alone, without its own cache of words: ours is larger."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path).model
+    model._resize_cache(0)
+    return model
+
+
+# Lower-case letters of ASCII and U+00DF to U+00FF: normal form and lower-casing leave them alone, and
+# the tokenizer cuts nowhere between them, so only the merges of its model are left to do.
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable characters of Latin-1 stand for their own byte, U+0100 and following for the others in
+    order.
+    """
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(0x100 + i) for i, byte in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def coded_words(path: str, words: list[str]) -> list[list[int]]:
+    """Ids of each word; words of letters alone go straight to the library's model."""
+    model, coded, others = _letter_model(path), [], []
+    for place, word in enumerate(words):
+        if _LETTERS(word):
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            coded.append([token.id for token in model.tokenize(word)])
+        else:
+            coded.append(None)
+            others.append(place)
+    whole = tokenizer(path).encode_batch_fast([words[i] for i in others], add_special_tokens=False)
+    for place, code in zip(others, whole):
+        coded[place] = code.ids
+    return coded
+
+
 class WordCache:
     """Ids of a text from the ids of its words, each tokenized once while it is kept.
 
@@ -111,24 +174,19 @@ class WordCache:
 
     def packed(self, words: list[str]) -> list[bytes]:
         found = list(map(self.fresh.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        keys = [words[i] for i in missing]
+        keys = [word for word, ids in zip(words, found) if ids is None]
         known = list(map(self.aged.get, keys))
         unknown = [key for key, ids in zip(keys, known) if ids is None]
-        coded = [code.ids for code in tokenizer(self.path).encode_batch_fast(
-            unknown, add_special_tokens=False)]
+        coded = coded_words(self.path, unknown)
         packed = np.fromiter(chain.from_iterable(coded), "<u4").tobytes()
         stops = [4 * n for n in accumulate(map(len, coded))]
         fresh = iter([packed[a:b] for a, b in zip([0, *stops], stops)])
-        for place, ids in enumerate(known):
-            if ids is None:
-                known[place] = next(fresh)
-        for i, ids in zip(missing, known):
-            found[i] = ids
+        known = [next(fresh) if ids is None else ids for ids in known]
         if len(self.fresh) + len(keys) > self.LIMIT // 2:
             self.aged, self.fresh = self.fresh, {}
         self.fresh.update((k, v) for k, v in zip(keys, known) if len(k) <= 64)
-        return found
+        missing = iter(known)
+        return [next(missing) if ids is None else ids for ids in found]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the bounds of each text in them."""
@@ -146,7 +204,11 @@ class WordCache:
         words = pa.StringArray.from_buffers(
             len(sizes), pa.py_buffer(offsets), spans.buffers()[1]
         ).dictionary_encode()
-        packed = self.packed(words.dictionary.to_pylist())
+        # No word holds a line feed, so the different ones become strings in one step.
+        different = words.dictionary
+        listed = pa.ListArray.from_arrays(pa.array([0, len(different)], pa.int32()), different)
+        packed = self.packed(
+            pc.binary_join(listed, "\n")[0].as_py().split("\n") if len(different) else [])
         known = np.frombuffer(b"".join(packed), "<u4")
         counts = np.fromiter(map(len, packed), np.int32, len(packed)) // 4
         index = words.indices.to_numpy()
@@ -187,7 +249,8 @@ def _pieces(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def write(docs: DataFrame, path: str, vocabulary: str, end: int = END) -> None:
     """Writes the ids of ``docs`` (doc_id, text) in ascending doc_id order to ``path``.
 
-    One range shuffle of the texts; every task codes the documents of its range in order.
+    One range shuffle of the texts into tasks of about ``PART_BYTES``, counted first; every task codes
+    the documents of its range in order. Rows of one id, null included, are parted by content.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, part, segment = WordCache(vocabulary), TaskContext.get().partitionId(), 0
@@ -224,10 +287,15 @@ def write(docs: DataFrame, path: str, vocabulary: str, end: int = END) -> None:
         if names:
             yield row()
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    size = whole.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Rows of one id are parted and ordered by content, and equal rows by their place.
+    order = ["doc_id", "mark", "at"]
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+        whole.withColumns({"mark": F.xxhash64("text"), "at": F.monotonically_increasing_id()})
+        .repartitionByRange(max(1, -(-size // PART_BYTES)), *order)
+        .sortWithinPartitions(*order).select("doc_id", "text")
     )
     ordered.mapInArrow(run, SEGMENT).write.parquet(path)
 
@@ -285,7 +353,7 @@ def digests(segments: DataFrame) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 places = np.array(batch.column("places")[row].as_py(), np.int64)
-                ids = _opened(batch, row).get(np.arange(places[-1]))
+                ids = _opened(batch, row).all()
                 view = memoryview(ids.astype("<u4")).cast("B")
                 start = batch.column("start")[row].as_py()
                 yield pa.RecordBatch.from_arrays(
