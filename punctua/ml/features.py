@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from punctua import config
 from punctua.functions.columns import is_complete
 from punctua.operators.joins import join_lookup
-from punctua.operators.ordering import cut_points
-from punctua.operators.settle import SMALL_ROWS, settle
+from punctua.operators.selection import FEW_ROWS, cut_points
+from punctua.operators.settle import settle
 
 ROWS_PER_TASK = 10_000
 ROWS_PER_SHORT_TASK = 40_000
@@ -95,7 +95,7 @@ def stratified_split(
     key: str = "trip_id",
     test_share: float = config.TEST_SHARE,
     order: Column | None = None,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = FEW_ROWS,
 ) -> DataFrame:
     """Add ``is_test``: exactly the rounded share of each class, repeatable by key and seed.
 
@@ -114,7 +114,7 @@ def stratified_folds(
     label: str = config.LABEL,
     key: str = "trip_id",
     order: Column | None = None,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = FEW_ROWS,
 ) -> DataFrame:
     """Add ``fold`` (0 .. folds-1) with equal shares of each class."""
     place = shuffle_order(key) if order is None else order

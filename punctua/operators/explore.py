@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from punctua import config
 from punctua.functions.columns import clamp, corrected_kurtosis, corrected_skewness, number
-from punctua.operators.joins import join_lookup
-from punctua.operators.ordering import percentiles, value_counts
-from punctua.operators.settle import SMALL_ROWS, settle
+from punctua.operators.selection import FEW_ROWS, percentiles
 
 # Weather order of the box plot.
 BOX_ORDER = ["Clear", "Rain", "Windy", "Fog", "Snow"]
@@ -63,14 +61,14 @@ def describe(
     frame: DataFrame,
     value: str,
     shares: Sequence[float] = (0.25, 0.5, 0.75, 0.9, 0.95),
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = FEW_ROWS,
 ) -> DataFrame:
     """One row: count, mean, deviation, minimum, exact percentiles, maximum.
 
-    A null or NaN enters none of them.
+    A null or NaN enters none of them. Percentiles are selected by counting digits, so no value is
+    shuffled; ``small_rows`` are counted by whole values at once.
     """
-    counts = value_counts(frame, value)
-    quantiles = percentiles(counts, value, shares, small_rows=small_rows)
+    quantiles = percentiles(frame, value, shares, few_rows=small_rows)
     names = [f"p{round(share * 100)}" for share in shares]
     by_rank = quantiles.select(
         *[F.element_at("q", i + 1).alias(name) for i, name in enumerate(names)]
@@ -183,23 +181,25 @@ def box_summary(
     group: str = "weather",
     value: str = "delay_minutes",
     order: Sequence[str] = BOX_ORDER,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int = FEW_ROWS,
 ) -> DataFrame:
-    """Quartiles and whiskers per group: the outermost values within 1.5 quartile ranges."""
-    counts = value_counts(frame.where(F.col(group).isin(list(order))), value, [group])
-    quartiles = settle(
-        percentiles(counts, value, [0.25, 0.5, 0.75], [group], small_rows).select(
-            group, *[F.element_at("q", i + 1).alias(f"q{i + 1}") for i in range(3)]
-        )
-    )
+    """Quartiles and whiskers per group: the outermost values within 1.5 quartile ranges.
+
+    Quartiles are selected by counting digits; they meet the rows by broadcast, one row for each name
+    in ``order``, and whiskers and counts are partial aggregates.
+    """
+    rows = frame.select(group, number(value).alias(value)).where(
+        F.col(group).isin(list(order)) & F.col(value).isNotNull())
+    quartiles = percentiles(rows, value, [0.25, 0.5, 0.75], [group], small_rows).select(
+        group, *[F.element_at("q", i + 1).alias(f"q{i + 1}") for i in range(3)])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     known = F.col(value)
     lowest = F.min(F.when(known >= F.col("q1") - reach, known))
     highest = F.max(F.when(known <= F.col("q3") + reach, known))
     return (
-        join_lookup(counts, quartiles, [group], "inner")
+        rows.join(F.broadcast(quartiles), group)
         .groupBy(group, "q1", "q2", "q3")
-        .agg(F.sum("n").alias("n"), lowest.alias("_low"), highest.alias("_high"))
+        .agg(F.count(F.lit(1)).alias("n"), lowest.alias("_low"), highest.alias("_high"))
         .select(
             group, "n", "q1", F.col("q2").alias("median"), "q3",
             F.least("_low", "q1").alias("whisker_low"),

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from punctua.operators import explore
-from punctua.operators.ordering import cut_points, percentiles, running_totals, value_counts
+from punctua.operators.ordering import running_totals
+from punctua.operators.selection import cut_points, percentiles
 from punctua.operators.settle import store
 
 SIZES = [10**6, 0]
@@ -37,8 +38,7 @@ def test_running_totals_by_key(spark, small_rows):
 @pytest.mark.parametrize("values", [sample(1), [3.0], [1.0, 1.0, 1.0], [5.0, None, 1.0, 2.0]])
 def test_percentiles_equal_numpy(spark, small_rows, values):
     shares = [0.0, 0.25, 0.5, 0.9, 0.95, 1.0]
-    counts = value_counts(frame_of(spark, values), "x")
-    found = percentiles(counts, "x", shares, small_rows=small_rows).first().q
+    found = percentiles(frame_of(spark, values), "x", shares, few_rows=small_rows).first().q
     assert found == pytest.approx(list(np.quantile([v for v in values if v is not None], shares)))
 
 
@@ -46,8 +46,8 @@ def test_percentiles_equal_numpy(spark, small_rows, values):
 def test_percentiles_by_group(spark, small_rows):
     groups = {"a": sample(2, 101), "b": sample(3, 40), "c": [7.0]}
     rows = [(g, v) for g, values in groups.items() for v in values]
-    counts = value_counts(spark.createDataFrame(rows, "g string, x double"), "x", ["g"])
-    found = {r.g: r.q for r in percentiles(counts, "x", [0.1, 0.75], ["g"], small_rows).collect()}
+    frame = spark.createDataFrame(rows, "g string, x double")
+    found = {r.g: r.q for r in percentiles(frame, "x", [0.1, 0.75], ["g"], small_rows).collect()}
     for group, values in groups.items():
         assert found[group] == pytest.approx(list(np.quantile(values, [0.1, 0.75])))
 
