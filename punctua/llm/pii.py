@@ -11,9 +11,12 @@ searches are linear in the text: a run is entered once, whatever its length.
 
 from __future__ import annotations
 
+import io
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from array import array
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -84,31 +87,62 @@ FINDERS: dict[str, Callable[[str], list[Span]]] = {
 
 
 class Rewritten:
-    """A text with the source span of each of its characters."""
+    """A text with the source span of each of its characters.
+
+    Only edits take room: the text is a row of stretches, given by their first places. A straight
+    stretch stands for source characters one by one, any other as a whole for one source span.
+    """
 
     def __init__(self, text: str):
         self.text = text
-        self.starts = list(range(len(text)))
-        self.ends = list(range(1, len(text) + 1))
+        self.at, self.begin, self.end = (array("q", [0]) for _ in range(3))
+        self.straight = array("b", [1])
 
-    def edit(self, edits: list[tuple[int, int, str]]) -> None:
+    def edit(self, edits: Iterable[tuple[int, int, str]]) -> None:
         """Replace spans, given in order; every new character stands for its whole span."""
-        if not edits:
-            return
-        parts, starts, ends, upto = [], [], [], 0
+        made = Rewritten("")
+        for kept in (made.at, made.begin, made.end, made.straight):
+            kept.pop()
+        out, written, upto, stretch = io.StringIO(), 0, 0, 0
+
+        def add(begin: int, end: int, straight: int, text: str) -> None:
+            nonlocal written
+            made.at.append(written)
+            made.begin.append(begin)
+            made.end.append(end)
+            made.straight.append(straight)
+            written += len(text)
+            out.write(text)
+
+        def copy(a: int, b: int) -> None:
+            nonlocal stretch
+            while a < b:
+                while stretch + 1 < len(self.at) and self.at[stretch + 1] <= a:
+                    stretch += 1
+                stop = min(b, self.at[stretch + 1]) if stretch + 1 < len(self.at) else b
+                straight = self.straight[stretch]
+                begin = self.begin[stretch] + (a - self.at[stretch] if straight else 0)
+                add(begin, self.end[stretch], straight, self.text[a:stop])
+                a = stop
+
         for begin, end, new in edits:
-            parts += [self.text[upto:begin], new]
-            starts += self.starts[upto:begin]
-            ends += self.ends[upto:begin]
-            starts += [self.starts[begin]] * len(new)
-            ends += [self.ends[end - 1]] * len(new)
+            copy(upto, begin)
+            if new:
+                add(*self.source((begin, end)), 0, new)
             upto = end
-        self.text = "".join([*parts, self.text[upto:]])
-        self.starts = starts + self.starts[upto:]
-        self.ends = ends + self.ends[upto:]
+        if upto:
+            copy(upto, len(self.text))
+            self.text = out.getvalue()
+            self.at, self.begin, self.end, self.straight = (
+                made.at, made.begin, made.end, made.straight)
 
     def source(self, span: Span) -> Span:
-        return self.starts[span[0]], self.ends[span[1] - 1]
+        first = bisect_right(self.at, span[0]) - 1
+        last = bisect_right(self.at, span[1] - 1) - 1
+        begin = self.begin[first] + (span[0] - self.at[first]) * self.straight[first]
+        if self.straight[last]:
+            return begin, self.begin[last] + span[1] - self.at[last]
+        return begin, self.end[last]
 
 
 # Letters of other scripts drawn like Latin ones, and what they look like.
@@ -143,7 +177,7 @@ def look_alikes() -> tuple[dict[str, str], re.Pattern]:
 
 def plain_letters(view: Rewritten) -> None:
     table, pattern = look_alikes()
-    view.edit([(m.start(), m.end(), table[m.group()]) for m in pattern.finditer(view.text)])
+    view.edit((m.start(), m.end(), table[m.group()]) for m in pattern.finditer(view.text))
 
 
 DIGIT_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
@@ -187,10 +221,10 @@ _DOT = re.compile(r"[ \t]+dot[ \t]+", re.IGNORECASE)
 
 def at_and_dot(view: Rewritten) -> None:
     """``(at)``, ``[dot]`` and the like; bare words only as ``name at host dot com``."""
-    view.edit([
+    view.edit(
         (m.start(), m.end(), "@" if m.group(m.lastindex).lower() in ("at", "@") else ".")
         for m in _BRACKETED.finditer(view.text)
-    ])
+    )
     edits = []
     for m in _WORDED.finditer(view.text):
         edits.append((*m.span(1), "@"))
@@ -210,9 +244,12 @@ def disguised(text: str, plain: dict[str, list[Span]]) -> list[tuple[str, int, i
         return []
     added = []
     for kind, find in FINDERS.items():
+        # Plain spans come in order and apart, so only the last that begins before may hold another.
+        heads = [a for a, _ in plain[kind]]
         for span in find(view.text):
             begin, end = view.source(span)
-            if not any(a <= begin and end <= b for a, b in plain[kind]):
+            before = bisect_right(heads, begin) - 1
+            if before < 0 or plain[kind][before][1] < end:
                 added.append((kind, begin, end))
     return added
 
