@@ -3,10 +3,11 @@
 Each vector is described by its ``NEAREST`` nearest of at most ``PIVOTS`` reference points, in
 order. Inverted lists hold the vectors of each label and pivot. Within a list, two vectors that
 share at least ``SHARED`` pivots are candidates and are verified by their cosine in double
-precision. A pair met in several lists counts in that of its first shared pivot only.
+precision. A pair met in several lists counts in that of its first shared pivot only; a list of
+more than a block is parted further by the second shared pivot.
 
 Vectors are compared only under equal, non-null labels and equal lengths. A vector that is null,
-empty, zero, or holds null or non-finite numbers links with nothing. Equal vectors are one class;
+empty, zero, or holds null or non-finite numbers links with nothing; numbers may have any size. Equal vectors are one class;
 a list is cut into blocks, and a task returns sums and a spanning forest, never its pairs.
 
 The reference points are drawn from the ``SAMPLE`` vectors of least hashed content, such that no
@@ -29,15 +30,19 @@ from punctua.llm.shared import keep
 PIVOTS, NEAREST, SHARED = 256, 8, 2
 SAMPLE, APART = 2048, 0.8
 BLOCK = 1024
+# Stands for no second pivot.
+NO_SECOND = -2
 COSINE = 0.98
 
 
 def vectors(rows: DataFrame) -> DataFrame:
     """Stored rows with a number of their own and two hashes of label and vector, if valid."""
-    wide = F.transform("embedding", lambda x: x.cast("double"))
-    norm = F.aggregate(wide, F.lit(0.0), lambda total, x: total + x * x)
-    # A null makes the sum null; NaN and infinities make it NaN or infinite.
-    valid = F.coalesce((norm > 0) & (norm < float("inf")) & ~F.isnan(norm), F.lit(False))
+    # Whether all numbers are known and finite and not all of them 0, whatever their size.
+    sizes = F.transform("embedding", lambda x: F.abs(x.cast("double")))
+    largest = F.array_max(sizes)  # NaN is the largest of all
+    valid = F.coalesce(
+        (largest > 0) & (largest < float("inf")) & ~F.isnan(largest)
+        & ~F.exists("embedding", lambda x: x.isNull()), F.lit(False))
     content = [F.col("label"), F.col("embedding")]
     return keep(
         rows.select(
@@ -52,13 +57,21 @@ def vectors(rows: DataFrame) -> DataFrame:
     )
 
 
+def unit(numbers: list) -> np.ndarray:
+    """A vector of length 1; scaled by its largest number first, or squares leave the doubles."""
+    vector = np.array(numbers, np.float64)
+    largest = np.abs(vector).max()
+    # Two steps, since the inverse of a very small number is infinite.
+    power = np.ldexp(vector, -int(np.frexp(largest)[1]))
+    return power / np.linalg.norm(power)
+
+
 def choose_pivots(classes: DataFrame, count: int = PIVOTS) -> dict[int, np.ndarray]:
     """Unit reference points by vector length, from a bounded sample fixed by its content."""
     sample = classes.select("embedding").orderBy("key1", "key2").limit(SAMPLE).collect()
     kept: dict[int, list] = {}
     for (numbers,) in sample:
-        vector = np.array(numbers, np.float64)
-        vector /= np.linalg.norm(vector)
+        vector = unit(numbers)
         near = kept.setdefault(len(vector), [])
         if len(near) < count and not (near and (np.array(near) @ vector).max() >= APART):
             near.append(vector)
@@ -75,9 +88,7 @@ def describe(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) ->
             lists = batch.column("embedding")
             near, packed = [], []
             for numbers in lists.to_pylist():
-                vector = np.array(numbers, np.float64)
-                vector /= np.abs(vector).max()  # else squares of large numbers overflow
-                vector /= np.linalg.norm(vector)
+                vector = unit(numbers)
                 points = shared.value.get(len(vector))
                 order = [-1] if points is None else np.argsort(
                     -(points @ vector), kind="stable")[:nearest].tolist()
@@ -94,11 +105,14 @@ def describe(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) ->
     )
 
 
-def _compare(pivot: int, near: list, vectors: list, sizes: np.ndarray, blocks: np.ndarray,
-             across: bool, cosine: float, shared: int) -> tuple[np.ndarray, list]:
+def _compare(pivot: int, second: int | None, near: list, vectors: list, sizes: np.ndarray,
+             blocks: np.ndarray, across: bool, cosine: float, shared: int
+             ) -> tuple[np.ndarray, list]:
     """Per vector the linked others of this task, weighted by class size; a spanning forest.
 
-    ``across`` leaves out the pairs within a block, which have a task of their own.
+    A pair belongs to the list of its first shared pivot, or of its first two where that list is
+    parted by a ``second``. ``across`` leaves out the pairs within a block, which have a task of
+    their own.
     """
     count = len(vectors)
     names, place = np.unique(np.concatenate(near), return_inverse=True)
@@ -106,9 +120,10 @@ def _compare(pivot: int, near: list, vectors: list, sizes: np.ndarray, blocks: n
     marks[np.repeat(np.arange(count), list(map(len, near))), place] = 1
     points = np.stack([np.frombuffer(v, np.float64) for v in vectors])
     least = min(shared, *map(len, near))
-    alike = (marks @ marks.T >= least) & (
-        marks[:, names < pivot] @ marks[:, names < pivot].T == 0
-    )
+    earlier = names < pivot
+    if second is not None:
+        earlier |= (names > pivot) & (names < second)
+    alike = (marks @ marks.T >= least) & (marks[:, earlier] @ marks[:, earlier].T == 0)
     if across:
         alike &= blocks[:, None] != blocks[None, :]
     np.fill_diagonal(alike, False)
@@ -144,7 +159,18 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS,
     lists = described.withColumns({
         "pivot": F.explode("near"), "width": F.octet_length("vector"),
     })
+    # A list of more than a block is parted by the second shared pivot: every pair that counts has
+    # one, a later number than the first, so nothing is lost and fewer vectors meet.
     key = ["label", "width", "pivot"]
+    long = lists.groupBy(*key).agg(
+        (F.count("*") > BLOCK).alias("long"))
+    later = F.when(
+        F.col("long") & (F.size("near") > 1) & F.lit(shared > 1),
+        F.filter("near", lambda other: other > F.col("pivot")),
+    ).otherwise(F.array(F.lit(None).cast("int")))
+    lists = lists.join(long, key).withColumn("second", F.explode(later)).drop("long")
+    key = [*key, "second"]
+    lists = lists.withColumn("second", F.coalesce("second", F.lit(NO_SECOND)))
     lengths = lists.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     parts = lists.join(lengths, key).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -154,8 +180,10 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS,
 
     def task(table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
+        second = table.column("second")[0].as_py()
         sums, forest = _compare(
-            table.column("pivot")[0].as_py(), table.column("near").to_pylist(),
+            table.column("pivot")[0].as_py(), None if second == NO_SECOND else second,
+            table.column("near").to_pylist(),
             table.column("vector").to_pylist(), table.column("size").to_numpy(),
             table.column("block").to_numpy(),
             table.column("low")[0].as_py() != table.column("high")[0].as_py(), cosine, shared,
