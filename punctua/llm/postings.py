@@ -25,8 +25,9 @@ from punctua.llm import words as W
 from punctua.llm.shared import keep
 
 WINDOW = 10
-# Text of test items broadcast at once; more items take further passes over the index.
-PASS_BYTES = 32 << 20
+# Text of test items searched at once; more items take further passes over the index. Their windows
+# take about 15 times as many bytes, on the driver and in every task.
+PASS_BYTES = 4 << 20
 # Candidate positions intersected at once.
 CANDIDATES = 1 << 20
 
@@ -75,21 +76,29 @@ class Phrases:
 
 
 def phrases_of(ids: list, texts: list, window: int) -> tuple[list[str], list[Phrases]]:
-    """Distinct item names, and all windows of the items grouped by their length."""
+    """Distinct item names, and all windows of the items grouped by their length.
+
+    Windows are rows of numbers, 8 bytes for each of their words and the item.
+    """
     names = sorted({"" if i is None else str(i) for i in ids})
     place = {name: number for number, name in enumerate(names)}
+    items = np.array([place["" if i is None else str(i)] for i in ids], np.uint64)
     found = W.split_words(pa.array(texts, pa.large_string()), W.ALPHANUMERIC)
-    by_length: dict[int, set] = {}
-    for i, (begin, end) in enumerate(zip(found.bounds, found.bounds[1:])):
-        item = place["" if ids[i] is None else str(ids[i])]
-        length = min(window, end - begin)
-        if length:
-            group = by_length.setdefault(int(length), set())
-            for at in range(begin, end - length + 1):
-                group.add((*found.hashes[at : at + length].tolist(), item))
+    counts = np.diff(found.bounds)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    left = np.repeat(found.bounds[1:], counts) - np.arange(len(owner))
     groups = []
-    for group in by_length.values():
-        rows = np.array(sorted(group), np.uint64)
+    for length in np.unique(np.minimum(counts, window)):
+        if not length:
+            continue
+        # All windows of items long enough; shorter items have the whole of them as one.
+        fits = (left >= length) & (np.minimum(counts, window) == length)[owner]
+        starts = np.flatnonzero(fits)
+        rows = np.empty((len(starts), int(length) + 1), np.uint64)
+        for step in range(int(length)):
+            rows[:, step] = found.hashes[starts + step]
+        rows[:, -1] = items[owner[starts]]
+        rows = np.unique(rows, axis=0)
         groups.append(Phrases(rows[:, :-1].copy(), rows[:, -1].astype(np.int64)))
     return names, groups
 
@@ -187,7 +196,7 @@ class Block:
 
 def _passes(items: DataFrame, limit: int) -> Iterator[tuple[list, list]]:
     """Item ids and texts in parts of bounded size."""
-    spread = items.select("item_id", "text").where(F.col("text").isNotNull())
+    spread = items.select("item_id", "text").where(F.col("text").isNotNull()).distinct()
     size = spread.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // limit) or 1
     spread = spread.withColumn("_part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
@@ -295,11 +304,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
                   pass_bytes: int = PASS_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items (sorted names), contaminated.
 
+    Other columns of the tables are ignored, whatever their names.
+
     A window is ``window`` consecutive words of an item, or a shorter item as a whole. Words of
     a document inside any occurrence of a window are hit. The benchmark may have any size: it
     is broadcast in parts of ``pass_bytes``. Copies of a row give a row each.
     """
     index = keep(build_index(docs), "postings")
+    return _located(index, items, window, pass_bytes).drop("block", "place")
+
+
+def _located(index: DataFrame, items: DataFrame, window: int, pass_bytes: int) -> DataFrame:
+    """Rows of :func:`decontaminate` with the place of each document in the index."""
     found = phrase_hits(index, items, window, pass_bytes)
     merged = found.groupBy("block", "place").agg(
         _union_size(F.flatten(F.collect_list("hits"))).alias("n_hit"),
@@ -310,7 +326,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     ).select("block", "place", F.col("doc.ids").alias("doc_id"),
              F.col("doc.n_words").cast("long").alias("n_words"))
     return all_docs.join(merged, ["block", "place"], "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        "block", "place", "doc_id", "n_words",
+        F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
@@ -336,12 +353,18 @@ def _term_counts(index: DataFrame, terms: np.ndarray) -> dict[int, int]:
     return {row["term"] % 2**64: row["n"] for row in rows}
 
 
+NEAR = "block long, place int, doc_id long, item string, position long"
+NEAR_ARROW = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()),
+                        ("item", pa.string()), ("position", pa.int64())])
+
+
 def proximity_hits(index: DataFrame, items: DataFrame, distance: int = 20, rarest: int = 3,
                    pass_bytes: int = PASS_BYTES) -> DataFrame:
     """Places where the ``rarest`` rarest terms of an item stand within ``distance`` words.
 
-    Rows (doc_id, item, position): the word position of the rarest term in its document. Rarity is
-    that of the whole index, however it is cut; terms of an item that it does not hold are left out.
+    Rows (block, place, doc_id, item, position): the document's place in the index, and the word
+    position of the rarest term in it. Rarity is that of the whole index, however it is cut; terms of
+    an item that it does not hold are left out.
     """
     spark = index.sparkSession
     found = None
@@ -357,26 +380,33 @@ def proximity_hits(index: DataFrame, items: DataFrame, distance: int = 20, rares
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names, queries = shared.value
-            for _, doc_ids, block in _open(batches):
+            for number, doc_ids, block in _open(batches):
                 rows = []
                 for name, query in zip(names, queries):
                     for at in block.near(query, distance):
                         place = int(block.document(at))
-                        rows.append({"doc_id": doc_ids[place], "item": name,
-                                     "position": int(at - block.bounds[place])})
-                yield pa.RecordBatch.from_pylist(rows, pa.schema(
-                    [("doc_id", pa.int64()), ("item", pa.string()), ("position", pa.int64())]))
+                        rows.append({"block": number, "place": place, "doc_id": doc_ids[place],
+                                     "item": name, "position": int(at - block.bounds[place])})
+                yield pa.RecordBatch.from_pylist(rows, NEAR_ARROW)
 
-        part = index.mapInArrow(search, "doc_id long, item string, position long")
+        part = index.mapInArrow(search, NEAR)
         found = keep(part, "near") if found is None else found.unionByName(keep(part, "near"))
     return found.distinct()
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
-    """All documents against all benchmark items."""
+    """All documents against all benchmark items; ``n_near`` counts items met by proximity.
+
+    One index serves the exact phrases and the proximity search.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate(docs, items).select(
+    index = keep(build_index(docs), "postings")
+    near = proximity_hits(index, items).groupBy("block", "place").agg(
+        F.count_distinct("item").alias("n_near"))
+    found = _located(index, items, WINDOW, PASS_BYTES).join(near, ["block", "place"], "left")
+    return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+        F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
     )

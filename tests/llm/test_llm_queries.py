@@ -19,7 +19,8 @@ COLUMNS = {
     "op5_quality": ["doc_id", "log_weight", "key", "kept"],
     "op6_token_codes": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op7_near_vectors": ["vec_id", "n_links", "component_id", "kept"],
-    "op9_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op9_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+                           "n_near"],
     "op10_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op13_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli",
                            "runs_sha256", "collapsed_sha256"],
