@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -72,6 +74,98 @@ def add_class_weights(frame: DataFrame, label: str = config.LABEL) -> DataFrame:
     return join_lookup(frame, class_weights(frame, label), [label], null_keys=True)
 
 
+@dataclass(frozen=True)
+class Moments:
+    """Rows, and per feature the mean and the sum of squared deviations from it."""
+
+    rows: int
+    means: tuple[float, ...]
+    squares: tuple[float, ...]
+
+    def without(self, part: Moments) -> Moments:
+        """Those of the other rows."""
+        rows = self.rows - part.rows
+        if rows <= 0:
+            return Moments(0, (0.0,) * len(self.means), (0.0,) * len(self.means))
+        means = tuple((self.rows * a - part.rows * b) / rows
+                      for a, b in zip(self.means, part.means))
+        squares = tuple(
+            max(0.0, whole - own - rows * part.rows / self.rows * (mean - other) ** 2)
+            for whole, own, mean, other in zip(self.squares, part.squares, means, part.means))
+        return Moments(rows, means, squares)
+
+    def deviations(self) -> tuple[float, ...]:
+        """Sample deviations, 0 where there are fewer than two rows."""
+        return tuple(math.sqrt(s / (self.rows - 1)) if self.rows > 1 else 0.0 for s in self.squares)
+
+
+@dataclass(frozen=True)
+class FoldTotals:
+    """Class sizes and feature moments of all rows and of each fold, from one aggregation."""
+
+    classes: dict[int, dict[float, int]]
+    moments: dict[int, Moments]
+    whole_classes: dict[float, int]
+    whole: Moments
+
+    def train_classes(self, fold: int) -> dict[float, int]:
+        """Class sizes of the rows outside a fold; classes without rows there are left out."""
+        own = self.classes.get(fold, {})
+        left = {label: n - own.get(label, 0) for label, n in self.whole_classes.items()}
+        return {label: n for label, n in left.items() if n > 0}
+
+    def train_moments(self, fold: int) -> Moments:
+        return self.whole.without(self.moments[fold]) if fold in self.moments else self.whole
+
+
+def fold_totals(folded: DataFrame, label: str = config.LABEL) -> FoldTotals:
+    """Totals of every fold; what is left without one follows by subtraction.
+
+    One row for each fold and class comes here, and one for each fold and for all rows.
+    """
+    measures = [F.count(F.lit(1)).alias("n")]
+    for i, name in enumerate(config.FEATURES):
+        measures += [F.avg(name).alias(f"mean{i}"),
+                     (F.var_pop(name) * F.count(name)).alias(f"square{i}")]
+    rows = folded.rollup("fold", label).agg(F.grouping_id().alias("level"), *measures).collect()
+    counts: dict[int, dict[float, int]] = {}
+    moments: dict[int, Moments] = {}
+    whole = Moments(0, (), ())
+    for row in rows:
+        if row.level == 0:
+            counts.setdefault(row.fold, {})[row[label]] = row.n
+            continue
+        size = range(len(config.FEATURES))
+        made = Moments(row.n, tuple(row[f"mean{i}"] or 0.0 for i in size),
+                       tuple(row[f"square{i}"] or 0.0 for i in size))
+        if row.level == 1:
+            moments[row.fold] = made
+        else:
+            whole = made
+    sizes: dict[float, int] = {}
+    for own in counts.values():
+        for value, n in own.items():
+            sizes[value] = sizes.get(value, 0) + n
+    return FoldTotals(counts, moments, sizes, whole)
+
+
+def weight_of(sizes: Mapping[float, int], label: str = config.LABEL) -> Column:
+    """Balanced class weight as a column, from known class sizes."""
+    rows, column = sum(sizes.values()), F.lit(None).cast("double")
+    for value, n in sizes.items():
+        column = F.when(F.col(label).eqNullSafe(F.lit(value)), F.lit(rows / (len(sizes) * n))
+                        ).otherwise(column)
+    return column
+
+
+def scaled(frame: DataFrame, moments: Moments) -> DataFrame:
+    """Features centred and scaled to unit deviation, by known moments; a constant becomes 0."""
+    return frame.withColumns({
+        name: (F.col(name) - F.lit(mean)) * F.lit(1 / deviation if deviation > 0 else 0.0)
+        for name, mean, deviation in zip(config.FEATURES, moments.means, moments.deviations())
+    })
+
+
 def shuffle_order(key: str, seed: int = config.SEED) -> Column:
     """Repeatable shuffled order of a key."""
     return F.xxhash64(F.col(key), F.lit(seed))

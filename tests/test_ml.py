@@ -144,3 +144,107 @@ def test_selected_logistic_names_its_parameters(spark):
     row = modelling.select_logistic(training_trips(spark), iterations=5, folds=2).first()
     assert row.reg_param in (0.01, 0.1) and row.elastic_net_param in (0.0, 0.5)
     assert row.roc_auc > 0.8 and 0 <= row.weighted_f1 <= 1
+
+
+def folded_rows(spark, n=300):
+    dice = random.Random(3)
+    rows = []
+    for i in range(n):
+        values = [dice.gauss(5, 2 + k) for k in range(len(config.FEATURES))]
+        values[1] = 4.0  # a constant
+        rows.append((f"T{i:04d}", *values, float(values[0] + dice.random() > 5.5), i % 3))
+    kinds = ", ".join(f"{name} double" for name in config.FEATURES)
+    return spark.createDataFrame(rows, f"trip_id string, {kinds}, is_delayed double, fold int")
+
+
+def test_fold_totals_by_subtraction(spark):
+    folded = folded_rows(spark).cache()
+    totals = features.fold_totals(folded)
+    for fold in range(3):
+        train = folded.where(F.col("fold") != fold)
+        sizes = {r.is_delayed: r["count"] for r in train.groupBy("is_delayed").count().collect()}
+        assert totals.train_classes(fold) == sizes
+        wanted = {r.is_delayed: r.weight for r in features.class_weights(train).collect()}
+        weighed = train.withColumn("weight", features.weight_of(totals.train_classes(fold)))
+        found = {r.is_delayed: r.weight for r in weighed.select("is_delayed", "weight").distinct().collect()}
+        assert found == pytest.approx(wanted)
+        moments = totals.train_moments(fold)
+        model = features.scaler(True).fit(features.assembler("raw_features").transform(train))
+        assert list(moments.means) == pytest.approx(list(model.mean))
+        assert list(moments.deviations()) == pytest.approx(list(model.std), abs=1e-9)
+        scaled = features.scaled(train, moments).agg(*[F.avg(c) for c in config.FEATURES]).first()
+        assert list(scaled) == pytest.approx([0.0] * len(config.FEATURES), abs=1e-9)
+    assert totals.train_classes(9) == totals.whole_classes
+
+
+@pytest.mark.parametrize("name", ["Logistic Regression", "Random Forest", "Gradient Boosting"])
+def test_fold_scores_equal_fits_one_by_one(spark, name):
+    folded = folded_rows(spark).coalesce(1).cache()
+    found = modelling.fold_scores(name, folded, SMALL, folds=3)
+    for fold in range(3):
+        train = features.add_class_weights(folded.where(F.col("fold") != fold))
+        rows = train.count()
+        model = models.model_zoo(rows, SMALL)[name].fit(modelling.arranged(name, train, rows))
+        alone = evaluate.threshold_metrics(model.transform(folded.where(F.col("fold") == fold)))
+        assert found[fold] == pytest.approx(alone.first().f1, abs=0.02)
+    assert modelling.fold_f1(name, folded, SMALL, 3) == pytest.approx(sum(found) / 3)
+
+
+def test_cross_validation_means_the_scores_of_its_folds(spark):
+    rows = folded_rows(spark).coalesce(1).cache()
+    pipeline, grid = models.logistic_grid(5)
+    tuned = models.cross_validate(rows, pipeline, grid, folds=3)
+    evaluator = models.auc_evaluator()
+    parts = tuned_folds(rows, 3)
+    for cell, mean in zip(grid, tuned.avgMetrics):
+        scores = [evaluator.evaluate(pipeline.fit(train, cell).transform(test)) for train, test in parts]
+        assert mean == pytest.approx(sum(scores) / 3)
+    table = models.grid_scores(spark, tuned).collect()
+    assert [r.cv_auc for r in table] == tuned.avgMetrics and len(table) == 4
+    best, = [r for r in table if r.chosen]
+    chosen = models.best_parameters(spark, tuned).first()
+    assert (best.reg_param, best.elastic_net_param) == (chosen.reg_param, chosen.elastic_net_param)
+    assert best.cv_auc == chosen.cv_auc == max(tuned.avgMetrics)
+
+
+def tuned_folds(rows, folds):
+    """The parts that the cross-validator makes: by one uniform number for each row."""
+    drawn = rows.select("*", F.rand(config.SEED).alias("_draw")).cache()
+    inside = [(F.col("_draw") >= k / folds) & (F.col("_draw") < (k + 1) / folds) for k in range(folds)]
+    return [(drawn.where(~part), drawn.where(part)) for part in inside]
+
+
+def test_comparison_table_holds_the_scores_of_stored_predictions(spark):
+    made = modelling.compare_models(training_trips(spark), SMALL, cross_validation=False)
+    rows = {r.model: r for r in made.table.collect()}
+    for name, fitted in made.fitted.items():
+        wanted = evaluate.binary_metrics(fitted.predictions).first()
+        assert [rows[name][c] for c in ("accuracy", "precision", "recall", "f1", "roc_auc")] == [
+            wanted[c] for c in ("accuracy", "precision", "recall", "f1", "roc_auc")]
+        assert rows[name].model_efficiency == pytest.approx(
+            rows[name].f1 / fitted.seconds, abs=1e-3)
+
+
+def test_held_frames_are_released(spark):
+    frame = spark.range(10)
+    with modelling.held(frame) as kept:
+        assert kept.storageLevel.useMemory and kept.storageLevel.useDisk
+    assert not frame.storageLevel.useMemory
+    with pytest.raises(ValueError), modelling.held(frame):
+        raise ValueError
+    assert not frame.storageLevel.useMemory
+
+
+@pytest.mark.parametrize("small_rows", SIZES)
+def test_reduced_curve_drops_middle_points_only(spark, small_rows):
+    dice = random.Random(4)
+    rows = [(int(dice.random() < s / 40), 0, s / 40) for s in range(40) for _ in range(dice.choice([1, 1, 2]))]
+    frame = scored(spark, rows)
+    whole = sorted(((r.threshold, r.fpr, r.tpr) for r in evaluate.roc_points(frame).collect()), reverse=True)
+    kept = sorted(((r.threshold, r.fpr, r.tpr) for r in
+                   evaluate.roc_points_reduced(frame, small_rows=small_rows).collect()), reverse=True)
+    steps = [(round((b[1] - a[1]) * 1e6), round((b[2] - a[2]) * 1e6)) for a, b in zip(whole, whole[1:])]
+    wanted = [whole[0], whole[1]] + [
+        whole[i] for i in range(2, len(whole)) if i == len(whole) - 1 or steps[i - 1] != steps[i]]
+    assert len(kept) == len(wanted) < len(whole)
+    assert all(a == pytest.approx(b) for a, b in zip(kept, wanted))

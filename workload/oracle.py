@@ -503,20 +503,58 @@ UNION ALL SELECT 'weighted avg', round(sum(p * s) / sum(s), 6), round(sum(r * s)
 SELECT model, round(f1, 6) AS f1 FROM results ORDER BY f1 DESC, model LIMIT 1"""),
     "training_rows": _with(*STORED, "SELECT trip_id, "
                            + FEATURE_COLUMNS.format("CAST(", " AS DOUBLE)") + " FROM clean"),
-    "random_split": """
+    "random_split_checks": """
 SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_twice, true AS share_in_bounds FROM events""",
     "scaled_features": _with(*STORED, "SELECT trip_id, " + ", ".join(
         f"round({name} / stddev_samp({name}) OVER (), 6) AS unit_{name}, "
         f"round(({name} - avg({name}) OVER ()) / stddev_samp({name}) OVER (), 6) AS centred_{name}"
         for name in ("load_factor", "vehicle_age_years")) + " FROM clean"),
-    "lr_grid_cv": """
-SELECT true AS penalty_of_grid, true AS mixing_of_grid, true AS scores_are_shares""",
-    "feature_importance": _with(*STORED, """
+    "fitting_layout": _with(*STORED, """
+SELECT count(*) AS n_rows,
+       CAST(greatest(1, least(64, ceil(count(*) / 10000)), ceil(count(*) / 2000000)) AS INTEGER)
+         AS n_parts, true AS even FROM clean"""),
+    "lr_grid_checks": _with(*STORED, """
+SELECT reg_param::DOUBLE AS reg_param, elastic_net_param::DOUBLE AS elastic_net_param,
+       (SELECT count(DISTINCT vehicle_age_years > 7) = 2 FROM clean) AS finds_it,
+       true AS chosen_is_best, true AS model_is_chosen
+FROM (VALUES (0.01), (0.1)) a(reg_param), (VALUES (0.0), (0.5)) b(elastic_net_param)"""),
+    "mllib_metrics": _with(SCORED, """
+by_score AS (
+  SELECT floor(score * 50) AS score, count(*) FILTER (WHERE is_delayed = 1) AS pos,
+         count(*) FILTER (WHERE is_delayed = 0) AS neg FROM scored GROUP BY 1
+), area AS (
+  SELECT sum(neg * (above - pos / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)::DOUBLE) AS auc
+  FROM (SELECT *, sum(pos) OVER (ORDER BY score DESC) AS above FROM by_score)
+)""", """
+SELECT (SELECT round(auc, 6) FROM area) AS roc_auc,
+       round(((tn + fp) * (2 * tn / (2 * tn + fp + fn)) + (tp + fn) * (2 * tp / (2 * tp + fp + fn)))
+             / (tn + fp + fn + tp), 6) AS weighted_f1,
+       round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy FROM cells"""),
+    "roc_points_reduced": _with(SCORED, """
+by_score AS (
+  SELECT score, count(*) FILTER (WHERE is_delayed = 1) AS pos,
+         count(*) FILTER (WHERE is_delayed = 0) AS neg FROM scored GROUP BY score
+), points AS (
+  SELECT score, pos, neg, sum(pos) OVER down AS tp, sum(neg) OVER down AS fp,
+         lead(pos) OVER down AS next_pos, lead(neg) OVER down AS next_neg,
+         row_number() OVER down AS place
+  FROM by_score WINDOW down AS (ORDER BY score DESC)
+)""", """
+SELECT round(score, 6) AS threshold, round(fp / (SELECT fp + tn FROM cells), 6) AS fpr,
+       round(tp / (SELECT tp + fn FROM cells), 6) AS tpr
+FROM points WHERE place = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+UNION ALL SELECT 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE"""),
+    "model_comparison_decided": _with(*STORED, """
+found AS (SELECT count(DISTINCT vehicle_age_years > 7) = 2 AS yes FROM clean)""", """
+SELECT model, yes AS accuracy, yes AS precision, yes AS recall, yes AS f1, yes AS roc_auc,
+       yes AS cv_f1, yes AS timed
+FROM found, (VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) m(model)"""),
+    "feature_importance_decided": _with(*STORED, """
 SELECT a AS actual, p AS predicted, count(vehicle_age_years) FILTER (WHERE a = p) AS n,
        'vehicle_age_years' AS first_feature
 FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) cells(a, p)
 LEFT JOIN clean ON CAST(vehicle_age_years > 7 AS INTEGER) = a GROUP BY a, p"""),
-    "batch_scores": _with(*STORED, """
+    "batch_scores_checks": _with(*STORED, """
 SELECT count(*) AS n_trips, CAST(0 AS BIGINT) AS n_changed, CAST(0 AS BIGINT) AS n_inconsistent
 FROM clean"""),
 }

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from operator import and_
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -461,17 +460,36 @@ def stratified_split_sizes(spark, folder):
 
 @query
 def random_split(spark, folder):
-    """Whether the random parts cover all trips once, and the test part has about its share."""
+    """The random part of every trip; which one depends on the sampler."""
     trips = wide_trips(spark, folder).select("trip_id")
     train, test = features.random_split(trips)
-    both = train.withColumn("test", F.lit(0)).unionByName(test.withColumn("test", F.lit(1)))
-    return both.groupBy("trip_id").agg(F.count("*").alias("n"), F.max("test").alias("t")).agg(
+    return train.withColumn("is_test", F.lit(False)).unionByName(
+        test.withColumn("is_test", F.lit(True)))
+
+
+@query
+def random_split_checks(spark, folder):
+    """Whether the random parts cover all trips once, and the test part has about its share."""
+    return random_split(spark, folder).groupBy("trip_id").agg(
+        F.count("*").alias("n"), F.max(F.col("is_test").cast("int")).alias("t")
+    ).agg(
         F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1).alias("n_twice"),
         F.avg("t").between(config.TEST_SHARE - 0.08, config.TEST_SHARE + 0.08)
         .alias("share_in_bounds"),
     )
 
 
+@query
+def fitting_layout(spark, folder):
+    """Partitions of the training rows: their number, and how the rows are spread."""
+    rows = features.spread_for_fitting(
+        features.training_set(model_trips(spark, folder), keep=["trip_id"]))
+    sizes = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    return sizes.agg(
+        F.sum("n").alias("n_rows"), F.lit(rows.rdd.getNumPartitions()).alias("n_parts"),
+        (F.max("n") <= 2 * features.ROWS_PER_TASK).alias("even"))
+
+
 @query
 def scaled_features(spark, folder):
     """Two features of each trip, scaled with and without centring."""
@@ -526,16 +544,50 @@ def training_rows(spark, folder):
 
 @query
 def lr_grid_cv(spark, folder):
-    """Whether the selected parameters are of the grid and all scores are shares."""
-    row = modelling.select_logistic(model_trips(spark, folder))
-    scores = ["roc_auc", "weighted_f1", "accuracy", "cv_auc"]
-    return row.select(
-        F.col("reg_param").isin(0.01, 0.1).alias("penalty_of_grid"),
-        F.col("elastic_net_param").isin(0.0, 0.5).alias("mixing_of_grid"),
-        reduce(and_, [F.col(s).between(0, 1) for s in scores]).alias("scores_are_shares"),
+    """All cells of the grid with their scores; the chosen one with its scores on the test part."""
+    found = modelling.search_logistic(model_trips(spark, folder))
+    test = found.scores.withColumn("chosen", F.lit(True))
+    return found.grid.join(F.broadcast(test), "chosen", "left").select(  # one row
+        "reg_param", "elastic_net_param", "cv_auc", "cv_std", "chosen", "roc_auc", "weighted_f1",
+        "accuracy")
+
+
+@query
+def lr_grid_checks(spark, folder):
+    """The grid on a label that one feature decides: every cell finds it, the best one is chosen."""
+    found = modelling.search_logistic(decided_trips(spark, folder), iterations=25, folds=3)
+    best = found.grid.agg(F.max("cv_auc").alias("best"))  # one row
+    cells = found.grid.crossJoin(F.broadcast(best)).crossJoin(
+        F.broadcast(found.parameters.select(
+            F.col("reg_param").alias("own"), F.col("elastic_net_param").alias("mixed"))))
+    own = (F.col("own") == F.col("reg_param")) & (F.col("mixed") == F.col("elastic_net_param"))
+    return cells.select(
+        "reg_param", "elastic_net_param", (F.col("cv_auc") > 0.95).alias("finds_it"),
+        (~F.col("chosen") | (F.col("cv_auc") == F.col("best"))).alias("chosen_is_best"),
+        (F.col("chosen") == own).alias("model_is_chosen"),
     )
 
 
+@query
+def mllib_metrics(spark, folder):
+    """The evaluators' scores on the pseudo-score; its distinct values are fewer than their bins."""
+    scored = adapters.scored(spark, folder).select(
+        F.col("is_delayed").cast("double"), F.col("prediction").cast("double"),
+        F.floor(F.col("score") * 50).cast("double").alias("score"))
+    return rounded(evaluate.mllib_metrics(scored, "score"))
+
+
+@query
+def roc_points_reduced(spark, folder):
+    return rounded(evaluate.roc_points_reduced(adapters.scored(spark, folder)))
+
+
+def decided_trips(spark, folder):
+    """Stored trips with a label that one feature decides."""
+    decided = (F.col("vehicle_age_years") > 7).cast("int")
+    return stored_trips(spark, folder).withColumn("is_delayed", decided)
+
+
 def model_trips(spark, folder):
     """Stored trips labelled with the wide tolerance."""
     label = C.off_schedule(F.col("delay_minutes"), adapters.WIDE_TOLERANCE)
@@ -555,11 +607,29 @@ def _fitted_forest(trips):
     return comparison.fitted["Random Forest"].model
 
 
+@query
+def model_comparison_decided(spark, folder):
+    """All three models, with fewer trees, on a label that one feature decides: each must find it."""
+    sizes = models.Sizes(lr_iterations=50, trees=40, forest_depth=8, boosting_rounds=10)
+    made = modelling.compare_models(decided_trips(spark, folder), sizes, folds=2).table
+    scores = ["accuracy", "precision", "recall", "f1", "roc_auc", "cv_f1"]
+    least = F.when(F.col("model") == modelling.LOGISTIC, 0.9).otherwise(0.97)
+    return made.select(
+        "model", *[(F.col(name) >= least).alias(name) for name in scores],
+        (F.col("train_time_s") > 0).alias("timed"))
+
+
 @query
 def feature_importance(spark, folder):
+    """Importance of all features in the forest of the trips' own label."""
+    trips = model_trips(spark, folder)
+    return evaluate.feature_importance(trips, _fitted_forest(trips))
+
+
+@query
+def feature_importance_decided(spark, folder):
     """Confusion over all trips, and the first feature, of a forest whose label one feature decides."""
-    decided = (F.col("vehicle_age_years") > 7).cast("int")
-    trips = stored_trips(spark, folder).withColumn("is_delayed", decided)
+    trips = decided_trips(spark, folder)
     model = _fitted_forest(trips)
     first = evaluate.feature_importance(trips, model).orderBy(F.desc("importance")).limit(1)
     scored = model.transform(features.training_set(trips)).select(
@@ -571,6 +641,14 @@ def feature_importance(spark, folder):
 
 @query
 def batch_scores(spark, folder):
+    """Class, probability and verdict of every complete trip, by a saved and loaded forest."""
+    path = fresh_path(spark, "forest")
+    io.save_model(_fitted_forest(model_trips(spark, folder)), path)
+    return score.score_trips(io.load_model(spark, path), stored_trips(spark, folder))
+
+
+@query
+def batch_scores_checks(spark, folder):
     """Scores by a saved and loaded forest: as before, one for each complete trip, and consistent."""
     path = fresh_path(spark, "forest")
     trips = stored_trips(spark, folder)
