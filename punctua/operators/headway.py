@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctua.operators.joins import join_lookup
-from punctua.operators.settle import settle, store
+from punctua.operators.buckets import bucket_count, range_keys, read_buckets, write_buckets
+from punctua.operators.settle import fresh_path, settle, store
 
 SECONDS_PER_DAY = 86_400
 
@@ -47,28 +47,34 @@ def add_headway(
 
     Gaps are in whole seconds. The first departure of a route, and a trip without route or
     departure, has none; a trip without trip_id comes before the others of its instant. There
-    is one plan for every size: one shuffle deals the trips into ordered ranges, which are stored;
-    each looks back on its own, and the first trips of a range take the last departure of the
-    ranges before, one small row for each range and route. Neither a route nor copies of a trip
-    are held by one task: the input position is the last part of the order.
+    is one plan for every size: one shuffle deals the trips into ordered ranges, stored in a bucket
+    each, so that looking back within a range shuffles nothing. Only the first route of a range
+    can have departures in the ranges before: one row for each range carries its last one over.
+    Neither a route nor copies of a trip are held by one task: the input position is the last part
+    of the order. The partitions of the result are the ranges.
     """
-    parts = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = trips.sparkSession
+    parts = bucket_count(spark)
     order = ["service_code", depart, "trip_id", "_at"]
-    ranged = store(
+    keys = F.array(*map(F.lit, range_keys(spark, parts)))
+    dealt = (
         trips.withColumn("_at", F.monotonically_increasing_id())
         .repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+        .withColumn("_range", F.element_at(keys, F.col("_part") + 1))
     )
-    before = Window.partitionBy("service_code").orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1)
-    earlier = (
-        ranged.groupBy("service_code", "_part").agg(F.max(depart).alias("_last"))
-        .withColumn("_earlier", F.max("_last").over(before)).drop("_last")
-    )
-    inside = Window.partitionBy("_part", "service_code").orderBy(depart, "trip_id", "_at")
-    previous = F.coalesce(F.lag(depart).over(inside), "_earlier")
+    path = fresh_path(spark, "ranges")
+    write_buckets(dealt, path, "_range", parts, order)
+    ranged = read_buckets(spark, path, dealt.schema, "_range", parts)
+    # The last route of each range and its last departure; nulls come before all others.
+    last = F.max(F.struct(F.col("service_code").alias("route"), F.col(depart).alias("time")))
+    before = settle(  # one row for each range
+        ranged.groupBy("_part").agg(last.alias("_last")).select(
+            "_part", F.lag("_last").over(Window.orderBy("_part")).alias("_before")))
+    inside = Window.partitionBy("_range", "service_code").orderBy(depart, "trip_id", "_at")
+    carried = F.when(F.col("_before.route") == F.col("service_code"), F.col("_before.time"))
+    previous = F.coalesce(F.lag(depart).over(inside), carried)
     gap = (F.unix_timestamp(depart) - F.unix_timestamp(previous)) / F.lit(60.0)
-    # One row for each range and the routes in it: with ordered ranges few ranges share a route.
-    met = join_lookup(ranged, settle(earlier), ["service_code", "_part"], null_keys=True)
+    met = ranged.join(F.broadcast(before), "_part", "left")
     return met.withColumn(name, F.when(F.col("service_code").isNotNull(), gap)).select(
         *trips.columns, name
     )

@@ -12,6 +12,7 @@ from punctua.functions.columns import (
     calendar, clamp, complement, encode, hour_in_range, is_complete, load_share, minutes_between,
     off_schedule,
 )
+from punctua.operators.buckets import join_buckets
 from punctua.operators.headway import add_headway
 from punctua.operators.joins import join_lookup, join_skewed
 from punctua.operators.settle import settle
@@ -137,21 +138,34 @@ def add_route_features(trips: DataFrame, features: DataFrame) -> DataFrame:
 def build_trips(
     trips: DataFrame, disruptions: DataFrame, train_only: Column | None = None
 ) -> DataFrame:
-    """Cleaned and enriched trips with the stored columns."""
+    """Cleaned and enriched trips with the stored columns, in ranges of route and departure."""
     cleaned = clean_trips(trips)
     features = settle(route_features(cleaned, disruptions, train_only))
-    with_gaps = add_headway(add_weather_code(cleaned))
-    return add_route_features(with_gaps, features).select(*config.TRIP_COLUMNS)
+    with_features = add_route_features(add_weather_code(cleaned), features)
+    return add_headway(with_features).select(*config.TRIP_COLUMNS)
+
+
+def trip_keys(trips: DataFrame) -> DataFrame:
+    """What pings take from their trip, once for each trip."""
+    return trips.select("trip_id", "service_code", "operator", "is_delayed")
 
 
 def match_pings(pings: DataFrame, trips: DataFrame) -> DataFrame:
     """Every ping, with route, operator and label of its trip where there is one."""
-    known = trips.select("trip_id", "service_code", "operator", "is_delayed")
-    return join_skewed(pings, known, "trip_id", "left").select(*config.PING_COLUMNS)
+    return join_skewed(pings, trip_keys(trips), "trip_id", "left").select(*config.PING_COLUMNS)
 
 
 def enrich_pings(pings: DataFrame, trips: DataFrame) -> DataFrame:
     """Pings of known trips, with route, operator and label of the trip."""
-    known = trips.select("trip_id", "service_code", "operator", "is_delayed")
-    known = known.where(F.col("service_code").isNotNull())
+    known = trip_keys(trips).where(F.col("service_code").isNotNull())
     return join_skewed(pings, known, "trip_id", "inner").select(*config.PING_COLUMNS)
+
+
+def enrich_stored(pings: DataFrame, keys: DataFrame, heavy: Sequence = ()) -> DataFrame:
+    """:func:`enrich_pings` with keys stored in buckets of trip_id.
+
+    Pings stored in as many buckets are not shuffled, others once. ``keys`` holds
+    :func:`trip_keys`, ``heavy`` the trips of so many pings that they go apart, never shuffled.
+    """
+    known = keys.where(F.col("service_code").isNotNull())
+    return join_buckets(pings, known, "trip_id", "inner", heavy).select(*config.PING_COLUMNS)

@@ -7,9 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from punctua import schemas
-from punctua.operators.prepare import build_trips, enrich_pings
+from punctua.operators.buckets import (
+    bucket_count, frequent_keys, read_buckets, spread_by_key, write_buckets,
+)
+from punctua.operators.prepare import build_trips, enrich_stored, trip_keys
 from punctua.operators.settle import store
-from punctua.sources.tables import read_csv, read_table, write_table
+from punctua.sources.tables import (
+    current_version, publish, read_csv, read_table, write_table,
+)
 
 
 @dataclass(frozen=True)
@@ -23,7 +28,7 @@ class Raw:
 
 @dataclass(frozen=True)
 class Stored:
-    """Paths of the three stored tables below one folder."""
+    """Paths of the stored tables below one folder."""
 
     folder: str
 
@@ -35,6 +40,11 @@ class Stored:
     def disruptions(self) -> str:
         return f"{self.folder}/disruptions_clean"
 
+    @property
+    def trip_keys(self) -> str:
+        """What pings take from their trip, by trip."""
+        return f"{self.folder}/trip_keys"
+
     @property
     def pings(self) -> str:
         return f"{self.folder}/locations_enriched"
@@ -56,15 +66,38 @@ def raw_csv(spark: SparkSession, folder: str) -> Raw:
 def ingest(raw: Raw, stored: Stored, train_only: Column | None = None) -> None:
     """Clean and enrich the raw tables and replace the stored ones.
 
-    Tables are clustered by what reports filter on, so that such reads skip files.
+    Trips and disruptions are clustered by what reports filter on, so that such reads skip files;
+    trips keep the ranges of the headway step, their only shuffle. Pings are kept by a hash of
+    their trip, as are the trips' keys: raw pings are shuffled once to meet the keys and stay where
+    they are, and later joins of the stored tables shuffle nothing.
     ``train_only`` picks the trips whose labels the route features may see.
-
-    Pings are matched with the stored trips, so the enrichment runs once and the join reads
-    four columns.
     """
     spark = raw.trips.sparkSession
     trips = build_trips(raw.trips, raw.disruptions, train_only)
-    write_table(trips, stored.trips, cluster_by=["service_code", "scheduled_depart"])
+    write_table(trips, stored.trips, cluster_by=["service_code", "scheduled_depart"], in_ranges=True)
     write_table(raw.disruptions, stored.disruptions, cluster_by=["service_code", "start_time"])
-    trips = read_table(spark, stored.trips)
-    write_table(enrich_pings(raw.pings, trips), stored.pings, cluster_by=["trip_id", "timestamp"])
+    count = bucket_count(spark)
+    keys = trip_keys(read_table(spark, stored.trips))
+    publish(spark, stored.trip_keys, lambda path: write_buckets(
+        spread_by_key(keys, "trip_id", count), path, "trip_id", count))
+    heavy = frequent_keys(raw.pings, "trip_id")
+    enriched = enrich_stored(raw.pings, stored_keys(spark, stored, count), heavy)
+    publish(spark, stored.pings, lambda path: write_buckets(
+        enriched, path, "trip_id", count, ["trip_id", "timestamp"]))
+
+
+def stored_keys(spark: SparkSession, stored: Stored, buckets: int | None = None) -> DataFrame:
+    """The stored trips' keys, known to the planner as clustered by trip."""
+    return _by_trip(spark, stored.trip_keys, buckets)
+
+
+def stored_pings(spark: SparkSession, stored: Stored, buckets: int | None = None) -> DataFrame:
+    """The stored pings, known to the planner as clustered by trip."""
+    return _by_trip(spark, stored.pings, buckets)
+
+
+def _by_trip(spark: SparkSession, path: str, buckets: int | None) -> DataFrame:
+    """``buckets`` is the number that the table was written with, by default that of a shuffle."""
+    version = current_version(spark, path)
+    schema = spark.read.parquet(version).schema
+    return read_buckets(spark, version, schema, "trip_id", buckets or bucket_count(spark))

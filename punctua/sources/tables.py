@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -25,8 +26,11 @@ def read_table(
     columns: Sequence[str] | None = None,
     drop_null: bool = False,
 ) -> DataFrame:
-    """Parquet table, or only some of its columns; ``drop_null`` keeps complete rows."""
-    table = spark.read.parquet(path)
+    """Parquet table, or only some of its columns; ``drop_null`` keeps complete rows.
+
+    Of a published table it is the current version.
+    """
+    table = spark.read.parquet(current_version(spark, path))
     if columns is not None:
         table = table.select(*columns)
     return table.where(is_complete(table, table.columns)) if drop_null else table
@@ -43,21 +47,75 @@ def run_sql(spark: SparkSession, text: str, parameters: Parameters | None = None
     return spark.sql(text, args=dict(parameters or {}))
 
 
+# The small file that names the current version of a published table.
+POINTER = "_current"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, whatever store it is in, and the path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the current version of a published table, or ``path`` itself of any other."""
+    files, pointer = _files(spark, f"{path}/{POINTER}")
+    if not files.exists(pointer):
+        return path
+    stream = files.open(pointer)
+    try:
+        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{path}/{name}"
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace a table that readers may be using.
+
+    ``write`` fills a fresh version folder. Only when it is done does the pointer file change, by a
+    rename. A failed or killed write leaves the table as it was, and a reader keeps the version
+    it has opened: the one before stays until the next is published, older ones go.
+    """
+    old = current_version(spark, path)
+    name = f"v-{uuid.uuid4().hex}"
+    write(f"{path}/{name}")
+    files, fresh = _files(spark, f"{path}/{POINTER}-{name}")
+    stream = files.create(fresh, True)
+    stream.write(name.encode())
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fresh.toUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(fresh, _files(spark, f"{path}/{POINTER}")[1], options)
+    for found in files.listStatus(_files(spark, path)[1]):
+        place = found.getPath()
+        if place.getName().startswith("v-") and place.getName() not in (name, old.split("/")[-1]):
+            files.delete(place, True)
+
+
 def write_table(
     frame: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    in_ranges: bool = False,
 ) -> None:
-    """Replace a Parquet table.
+    """Publish a Parquet table in place of the one at ``path``.
 
     ``partition_by`` gives later readers partition pruning. ``cluster_by`` sorts the rows into
     ranges of these columns, so that filters on them skip files and row groups; ranges also
-    split a value that holds many rows when a further column follows it.
+    split a value that holds many rows when a further column follows it. Rows whose partitions
+    are such ranges already, ``in_ranges``, are written as they lie.
     """
+    if cluster_by and not in_ranges:
+        frame = frame.repartitionByRange(*cluster_by)
     if cluster_by:
-        frame = frame.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    frame.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        frame = frame.sortWithinPartitions(*cluster_by)
+    publish(frame.sparkSession, path,
+            lambda version: frame.write.partitionBy(*partition_by).parquet(version))
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
