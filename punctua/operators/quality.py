@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,16 +52,34 @@ def in_range(column: str, low: float, high: float, prefix: str) -> dict[str, Col
     return {f"{prefix}_{column}_range": ~F.col(column).between(low, high)}
 
 
+def keys_used(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored ``(column, key, n)``: how often each value of some key columns occurs, null included.
+
+    One read and one shuffle serve all columns; copies are folded before the shuffle.
+    """
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("key"))
+        for name in keys]))
+    return store(
+        frame.select(pairs.alias("pair")).groupBy("pair.column", "pair.key")
+        .agg(F.count(F.lit(1)).alias("n")))
+
+
+def used(counts: DataFrame, name: str) -> DataFrame:
+    """The counts of one column of :func:`keys_used`, as ``(name, n)``."""
+    return counts.where(F.col("column") == name).select(F.col("key").alias(name), "n")
+
+
 def known_reference(
-    frame: DataFrame, key: str, parents: DataFrame, parent_key: str, rule: str
+    counts: DataFrame, key: str, parents: DataFrame, parent_key: str, rule: str
 ) -> DataFrame:
     """Rows whose non-null ``key`` has no parent; a key is looked up once however often it occurs.
 
-    ``parents`` holds each ``parent_key`` once.
+    ``counts`` has a row for each key with its rows ``n``; ``parents`` holds each ``parent_key`` once.
     """
-    used = frame.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    known = counts.where(F.col(key).isNotNull())
     parent = parents.select(F.col(parent_key).alias(key)).withColumn("_known", F.lit(1))
-    return used.join(parent, key, "left").agg(
+    return known.join(parent, key, "left").agg(
         F.lit(rule).alias("rule"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
         F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0))
@@ -69,11 +87,29 @@ def known_reference(
     )
 
 
-def quality_report(trips: DataFrame, disruptions: DataFrame, pings: DataFrame) -> DataFrame:
+def rejected_lines(rows: DataFrame, rejects: DataFrame, prefix: str) -> DataFrame:
+    """For each reason why lines of a text table were rejected, how many of all lines they are."""
+    lines = rows.select(F.lit(None).cast("string").alias("reason")).unionByName(
+        rejects.select("reason")).agg(F.count(F.lit(1)).alias("checked"))  # one row
+    return (
+        rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("violations"))
+        .crossJoin(F.broadcast(lines))
+        .select(F.concat(F.lit(f"{prefix}_rejected_"), "reason").alias("rule"), "checked", "violations")
+    )
+
+
+def quality_report(
+    trips: DataFrame,
+    disruptions: DataFrame,
+    pings: DataFrame,
+    read: Mapping[str, tuple[DataFrame, DataFrame]] | None = None,
+) -> DataFrame:
     """All declared rules over cleaned trips, disruptions and pings.
 
-    Trips and disruptions are read once, for rules and keys together; the stored keys of the trips
-    serve the reference of the pings as well.
+    ``read`` adds, by name of a text table, the lines that its reader kept and rejected.
+
+    Every table is read once, for rules and keys together; the stored keys of the trips serve the
+    reference of the pings as well.
     """
     trips_by_key = store(rules_by_key(trips, "trip_id", {
         **not_null("service_code", "operator", "is_delayed", prefix="trips"),
@@ -83,11 +119,13 @@ def quality_report(trips: DataFrame, disruptions: DataFrame, pings: DataFrame) -
         **not_null("service_code", prefix="disruptions"),
         **in_domain("severity", config.SEVERITIES, prefix="disruptions"),
     })
+    ping_keys = keys_used(pings, ["location_id", "trip_id"])
     parts = [
         key_report(trips_by_key, "trip_id", "trips_trip_id_unique"),
         key_report(disruptions_by_key, "disruption_id", "disruptions_disruption_id_unique"),
-        key_report(rules_by_key(pings, "location_id", {}), "location_id",
-                   "pings_location_id_unique"),
-        known_reference(pings, "trip_id", trips_by_key, "trip_id", "pings_trip_id_known"),
+        key_report(used(ping_keys, "location_id"), "location_id", "pings_location_id_unique"),
+        known_reference(used(ping_keys, "trip_id"), "trip_id", trips_by_key, "trip_id",
+                        "pings_trip_id_known"),
     ]
+    parts += [rejected_lines(rows, rejects, name) for name, (rows, rejects) in (read or {}).items()]
     return reduce(DataFrame.unionByName, parts)

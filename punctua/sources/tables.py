@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctua.functions.columns import is_complete
+from punctua.operators.settle import store
 
 Parameters = Mapping[str, object]
 
@@ -20,6 +23,43 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
 
 
+BROKEN = "_broken_line"
+
+
+@dataclass(frozen=True)
+class Checked:
+    """Rows of a text table that fit its schema, and ``(line, reason)`` of those that do not."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> Checked:
+    """CSV under a declared schema, with the lines that do not fit kept apart.
+
+    The text is read once and stored. The reason is ``columns`` for a wrong number of fields, else the
+    name of the first field that is no value of its type.
+    """
+    declared = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    read = store(
+        spark.read.schema(declared).option("columnNameOfCorruptRecord", BROKEN)
+        .csv(path, header=True, enforceSchema=False, mode="PERMISSIVE"))
+    broken = read.where(F.col(BROKEN).isNotNull()).select(F.col(BROKEN).alias("line"))
+    # One field more than declared shows a line that has too many.
+    texts = T.StructType([
+        *[T.StructField(f"f{i}", T.StringType()) for i in range(len(schema.fields) + 1)]])
+    fields = broken.withColumn("f", F.from_csv("line", texts.simpleString()[7:-1].replace(":", " ")))
+    reason = F.when(
+        F.col(f"f.f{len(schema.fields)}").isNotNull()
+        | (F.size(F.split("line", ",")) < len(schema.fields)), "columns")
+    for i, field in enumerate(schema.fields):
+        value = F.col(f"f.f{i}")
+        unread = value.isNotNull() & value.try_cast(field.dataType).isNull()
+        reason = reason.when(unread, field.name)
+    rejects = fields.select("line", reason.otherwise("other").alias("reason"))
+    return Checked(read.where(F.col(BROKEN).isNull()).drop(BROKEN), rejects)
+
+
 def read_table(
     spark: SparkSession,
     path: str,

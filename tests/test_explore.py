@@ -139,3 +139,32 @@ def test_frequencies_and_shares(spark):
 def test_distinct_values_in_string_order(spark):
     frame = frame_of(spark, ["N2", "N10", "N1", "N11", "N10"], "string")
     assert [r.x for r in explore.distinct_values(frame, "x", 3).collect()] == ["N1", "N10", "N11"]
+
+
+def test_correlations_far_from_zero_and_in_one_scan(spark):
+    dice = random.Random(3)
+    rows = [(1e9 + dice.random(), 1e9 + dice.random() * (i % 7), None if i % 5 else float(i), float("nan"))
+            for i in range(400)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(6)
+    found = explore.correlations(frame, list("abcd"))
+    data = pd.DataFrame(rows, columns=list("abcd"))
+    data[["a", "b"]] -= 1e9
+    wanted = data.corr()
+    for row in found.collect():
+        value = wanted.loc[row.column_name, row.row_name]
+        assert row.correlation == (None if np.isnan(value) else pytest.approx(value, abs=1e-6))
+    assert explore.correlations(frame.limit(0), ["a", "b"]).first().correlation is None
+
+
+@pytest.mark.parametrize("rank_error", [0.05, 0.005])
+def test_sketched_percentiles_are_within_their_error(spark, rank_error):
+    values = sample(7, 20_000)
+    row = explore.describe_approx(frame_of(spark, values).repartition(8), "x", rank_error=rank_error).first()
+    ranked = np.sort(values)
+    for share, name in ((0.25, "p25"), (0.5, "p50"), (0.95, "p95")):
+        low, high = np.searchsorted(ranked, row[name]), np.searchsorted(ranked, row[name], "right")
+        assert low <= (share + rank_error) * 20_000 + 1 and high >= (share - rank_error) * 20_000 - 1
+    assert row["count"] == 20_000 and row["min"] == ranked[0] and row["max"] == ranked[-1]
+    assert explore.describe_approx(frame_of(spark, [None]), "x").first().p50 is None
+    with pytest.raises(ValueError):
+        explore.sketch_size(1e-6)

@@ -1,6 +1,7 @@
 import datetime as dt
 
-from punctua import config
+from punctua import config, schemas
+from punctua.operators import quality
 from punctua.plans import dashboard
 from punctua.plans.ingest import Stored, ingest, raw_csv
 from punctua.sources import tables as io
@@ -79,3 +80,24 @@ def test_dashboard_choice(spark):
     assert dashboard.delay_distribution(trips, choice).count() == dashboard.BINS
     night = dashboard.Choice(operators=["A"], hours=dashboard.DEFAULT_HOURS)
     assert sorted(r.service_code for r in dashboard.delay_heatmap(trips, night).collect())[:2] == ["N1", "N2"]
+
+
+def test_broken_lines_are_kept_with_their_reason(spark, tmp_path):
+    lines = LOCATIONS.splitlines()
+    lines += ["L0000003,T0000001,at night,51.5,-0.1,30.5,90.0,Fair", "L0000004,T0000001",
+              lines[1] + ",more", 'L0000005,"T,1",2024-10-01 22:10:00,,,,,']
+    (tmp_path / "locations.csv").write_text("\n".join(lines) + "\n")
+    found = io.read_csv_checked(spark, str(tmp_path / "locations.csv"), schemas.LOCATIONS)
+    assert sorted(r.location_id for r in found.rows.collect()) == ["L0000000", "L0000001", "L0000005"]
+    rejects = {r.line.split(",")[0] + r.line[-5:]: r.reason for r in found.rejects.collect()}
+    assert rejects == {"L0000002,Fair": "latitude", "L0000003,Fair": "timestamp",
+                       "L0000004 0001"[:8] + "00001": "columns", "L0000000,more": "columns"}
+    report = quality.quality_report(
+        spark.createDataFrame([], "trip_id string, service_code string, operator string, "
+                              "is_delayed int, delay_minutes_clipped double"),
+        spark.createDataFrame([], "disruption_id string, service_code string, severity string"),
+        spark.createDataFrame([("L1", "T1"), ("L1", None), (None, "T2")], "location_id string, trip_id string"),
+        {"pings": (found.rows, found.rejects)})
+    rows = {r.rule: (r.checked, r.violations) for r in report.collect()}
+    assert rows["pings_rejected_columns"] == (7, 2) and rows["pings_rejected_latitude"] == (7, 1)
+    assert rows["pings_location_id_unique"] == (2, 1) and rows["pings_trip_id_known"] == (2, 2)

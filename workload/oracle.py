@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 TRIPS = """
 trips AS (
   SELECT printf('T%07d', event_id) AS trip_id,
@@ -394,6 +396,33 @@ SELECT count(delay_minutes) AS count, round(avg(delay_minutes), 6) AS mean,
     "delay_shape": _with(NARROW, """
 SELECT round(skewness(delay_minutes), 6) AS skewness, round(kurtosis(delay_minutes), 6) AS kurtosis
 FROM trips"""),
+    "describe_delay_approx": _with(NARROW, """
+SELECT share::DOUBLE AS share, (SELECT count(delay_minutes) FROM trips) AS n, true AS within
+FROM (VALUES (0.25), (0.5), (0.75), (0.9), (0.95)) s(share)"""),
+    "correlation_gaps": _with(*STORED, """
+holed AS (
+  SELECT CASE WHEN weather <> 'Fog' THEN load_factor END AS load_factor,
+         CASE WHEN vehicle_age_years <= 10 THEN vehicle_age_years END AS vehicle_age_years,
+         delay_minutes, passenger_count FROM clean)""", "\nUNION ALL ".join(
+        f"SELECT '{b}' AS row_name, '{a}' AS column_name, round(corr({a}, {b}), 6) AS correlation "
+        "FROM holed"
+        for a, b in combinations(
+            ["load_factor", "vehicle_age_years", "delay_minutes", "passenger_count"], 2))),
+    "csv_rejects": _with(NARROW, """
+SELECT CASE weather WHEN 'Snow' THEN 'capacity' WHEN 'Windy' THEN 'scheduled_depart' ELSE 'none'
+       END AS reason, count(*) AS n
+FROM trips GROUP BY 1"""),
+    "pings_by_bucket": """
+SELECT CAST(l_orderkey % 16 AS INTEGER) AS bucket, count(*) AS n_rows,
+       count(DISTINCT l_orderkey) AS n_trips
+FROM lineitem GROUP BY 1""",
+    "stored_by_key": _with(NARROW, PINGS, """
+SELECT count(*) AS n_rows, count(DISTINCT trip_id) AS n_trips, CAST(0 AS BIGINT) AS n_misplaced,
+       CAST(0 AS BIGINT) AS n_split
+FROM pings WHERE trip_id IN (SELECT trip_id FROM trips)"""),
+    "stored_join": _with(NARROW, PINGS, """
+SELECT operator, count(*) AS n_pings, round(avg(speed_kmh), 6) AS mean_speed
+FROM pings JOIN trips USING (trip_id) GROUP BY operator"""),
     "correlation_long": _with(*STORED, _correlations()),
     "delay_histogram": _with(NARROW, *_histogram("trips", 60)),
     "delay_boxplot": _with(NARROW, """

@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 from punctua import config, schemas
 from punctua.functions import columns as C
 from punctua.ml import evaluate, features, models, score
-from punctua.operators import explore, headway, kpi, prepare, quality
+from punctua.operators import buckets, explore, headway, kpi, prepare, quality
 from punctua.operators.settle import fresh_path
 from punctua.plans import dashboard, modelling
-from punctua.plans.ingest import Stored, ingest
+from punctua.plans.ingest import Stored, ingest, stored_keys, stored_pings
 from punctua.sources import adapters
 from punctua.sources import tables as io
 
@@ -239,6 +239,61 @@ def csv_round_trip(spark, folder):
     return rounded(io.read_csv(spark, path, schemas.TIMETABLES))
 
 
+@query
+def csv_rejects(spark, folder):
+    """Trips as CSV, some lines of which are broken: rows read, and lines rejected by reason."""
+    path = fresh_path(spark, "broken")
+    trips = adapters.trips(spark, folder).select(
+        *[F.col(field.name).cast("string") for field in schemas.TIMETABLES])
+    snowy, windy = F.col("weather") == "Snow", F.col("weather") == "Windy"
+    trips.withColumns({
+        "capacity": F.when(snowy, "many").otherwise(F.col("capacity")),
+        "scheduled_depart": F.when(windy, "at night").otherwise(F.col("scheduled_depart")),
+    }).write.csv(path, header=True)
+    found = io.read_csv_checked(spark, path, schemas.TIMETABLES)
+    counts = found.rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(found.rows.agg(
+        F.lit("none").alias("reason"), F.count("trip_id").alias("n")))
+
+
+# Tables by key
+
+@query
+def pings_by_bucket(spark, folder):
+    """Pings dealt by the number of their trip: rows and trips in each of 16 partitions."""
+    number = F.substring("trip_id", 2, 20).cast("long")
+    dealt = adapters.pings(spark, folder).select("trip_id").repartitionById(
+        16, (number % 16).cast("int"))
+    return dealt.groupBy(F.spark_partition_id().alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("trip_id").alias("n_trips"))
+
+
+@query
+def stored_by_key(spark, folder):
+    """Stored pings by the hash of their trip: rows out of place, and trips in two files' buckets."""
+    count = buckets.bucket_count(spark)
+    pings = stored_pings(spark, stored_tables(spark, folder))
+    place = F.regexp_extract(F.input_file_name(), r"_(\d+)\.c", 1).cast("int")
+    placed = pings.select("trip_id", place.alias("bucket"),
+                          buckets.bucket_of("trip_id", count).alias("own"))
+    return placed.groupBy("trip_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("bucket").alias("buckets"),
+        F.count_if(F.col("bucket") != F.col("own")).alias("wrong"),
+    ).agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_trips"),
+        F.sum("wrong").alias("n_misplaced"), F.count_if(F.col("buckets") > 1).alias("n_split"))
+
+
+@query
+def stored_join(spark, folder):
+    """Stored pings by operator of their stored trip; the join of the two tables shuffles nothing."""
+    stored = stored_tables(spark, folder)
+    pings = stored_pings(spark, stored).select("trip_id", "speed_kmh")
+    keys = stored_keys(spark, stored).select("trip_id", "operator")
+    return rounded(buckets.join_buckets(pings, keys, "trip_id").groupBy("operator").agg(
+        F.count(F.lit(1)).alias("n_pings"), F.avg("speed_kmh").alias("mean_speed")))
+
+
 # Rankings and KPIs
 
 @query
@@ -355,6 +410,41 @@ def describe_delay(spark, folder):
     return rounded(explore.describe(adapters.trips(spark, folder), "delay_minutes"))
 
 
+@query
+def describe_delay_approx(spark, folder):
+    """Sketched percentiles: whether each has at most the stated error of its rank."""
+    error, shares = 0.01, [0.25, 0.5, 0.75, 0.9, 0.95]
+    trips = adapters.trips(spark, folder)
+    row = explore.describe_approx(trips, "delay_minutes", shares, error)
+    names = [f"p{round(share * 100)}" for share in shares]
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(share).alias("share"), F.col(name).alias("value"))
+        for share, name in zip(shares, names)]))
+    found = row.select("count", pairs.alias("pair")).select("count", "pair.*")  # five rows
+    ranked = trips.select("delay_minutes").crossJoin(F.broadcast(found)).groupBy(
+        "share", "count", "value").agg(
+        F.count_if(F.col("delay_minutes") < F.col("value")).alias("below"),
+        F.count_if(F.col("delay_minutes") <= F.col("value")).alias("upto"))
+    rank = F.col("share") * F.col("count")
+    slack = F.lit(error) * F.col("count") + 1
+    return ranked.select(
+        "share", F.col("count").alias("n"),
+        ((F.col("below") <= rank + slack) & (F.col("upto") >= rank - slack)).alias("within"))
+
+
+@query
+def correlation_gaps(spark, folder):
+    """Pairs with nulls and NaN: loads of foggy trips are unknown, ages over 10 are no number."""
+    trips = stored_trips(spark, folder)
+    holed = trips.withColumn(
+        "load_factor", F.when(F.col("weather") != "Fog", F.col("load_factor"))
+    ).withColumn("vehicle_age_years", F.when(
+        F.col("vehicle_age_years") > 10, F.lit(float("nan"))
+    ).otherwise(F.col("vehicle_age_years").cast("double")))
+    return rounded(explore.correlations(
+        holed, ["load_factor", "vehicle_age_years", "delay_minutes", "passenger_count"]))
+
+
 @query
 def delay_shape(spark, folder):
     return rounded(explore.shape(adapters.trips(spark, folder), "delay_minutes"))
