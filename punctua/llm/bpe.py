@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from punctua.llm import words as W
 
@@ -332,9 +333,8 @@ def _with(batch: pa.RecordBatch, names: list[str], arrays: list[pa.Array]) -> pa
     )
 
 
-def _schema(docs: DataFrame, added: str) -> str:
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return f"{own}, {added}" if own else added
+def _schema(docs: DataFrame, added: str) -> T.StructType:
+    return T.StructType([*docs.schema.fields, *T.StructType.fromDDL(added).fields])
 
 
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:

@@ -1,21 +1,24 @@
-"""Quality selection by importance resampling.
+"""Quality selection by importance resampling, and a filter by the same models.
 
 Two generative models over hashed n-grams, one of target text (labelled good and not toxic) and
 one of all raw text, give each document a log importance weight: the sum of the log ratios of its
-distinct n-grams. Gumbel noise is added to the scaled weights and the k largest keys are selected.
+distinct n-grams. Gumbel noise is added to the weights and the k largest keys are the sample.
 
 N-grams are words, word pairs, word beginnings, runs of punctuation, the share of the text each such
 run has, and the share of tokens that repeat the one before. Counts are numbers of documents, so
 that copies within a text do not count. Raw counts cover all documents. To the target count and the
-expected one ``PRIOR`` documents times the root of the target's number are added. No ratio is
-dropped: each is multiplied by the probability that its bucket has different shares in target and
-labelled bad documents, from their counts and the share ``DIFFERENT`` of such buckets assumed
-before. Texts of more than ``USUAL`` n-grams have their sum scaled to that number, or chance would
-add up in them. The sum of ratios over one is scaled to ``GAINS`` n-grams: the target is part of the
-raw text, so these are small and many, and would let long texts outweigh what speaks against them.
+expected one ``PRIOR`` documents times the root of the target's number are added.
+
+A sample of a large share of the raw text leaves most of what the target does not hold in it. The
+filter decides: it multiplies each ratio by the probability that its bucket has different shares
+in target and labelled bad documents, from their counts and the share ``DIFFERENT`` of such buckets
+assumed before. Texts of more than ``USUAL`` n-grams have that sum scaled to as many, or chance would
+add up in them; the sum of ratios over one is scaled to ``GAINS`` n-grams: the target is part of
+the raw text, so these are small and many, and would let long texts outweigh what speaks against
+them.
 
 The target is a bounded sample of ``LABELS`` labelled rows, those of least hash; one in four of
-them is held out and sets k: the number of documents at or over the weight that best parts
+them is held out and sets k: the number of documents at or over the filter weight that best parts
 held-out good ones from bad ones. Without labels of both kinds all documents are selected.
 
 A null text is an empty one. A document with several labels is good only if all are; a null label
@@ -32,9 +35,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctua.llm import words as W
-from punctua.llm.shared import keep
+from punctua.llm.shared import keep, map_beside, unused
 
 # The first buckets are those of words and beginnings, then come word pairs. The last are those
 # of shares, so that no frequent word falls in with them.
@@ -216,22 +220,41 @@ def evidence(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
 
 
-def log_ratios(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
-    """Log ratio of the target model to the raw model for each bucket, times its evidence."""
+def model_ratios(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """Log ratio of the target model to the raw model for each bucket, smoothed by ``PRIOR``."""
     raw, target, _ = counts.astype(np.float64)
     expected = raw * (documents[1] / max(documents[0], 1))
     prior = PRIOR * math.sqrt(max(documents[1], 1))
-    ratios = np.log((target + prior) / (expected + prior))
-    return (evidence(counts, documents) * ratios).astype(np.float32)
+    return np.log((target + prior) / (expected + prior)).astype(np.float32)
+
+
+def log_ratios(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """:func:`model_ratios` times the evidence of each bucket."""
+    return (evidence(counts, documents) * model_ratios(counts, documents)).astype(np.float32)
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
-    """Adds ``_log_weight`` and ``_label_kind`` (0 if none) to all columns of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast((ratios, labels))
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+@dataclass(frozen=True)
+class Weighed:
+    """Documents with three more columns, under names that none of theirs had."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known = shared.value
+    frame: DataFrame
+    ratio: str
+    filter: str
+    kind: str
+
+
+def weigh(docs: DataFrame, ratios: np.ndarray, labels: Labels,
+          models: np.ndarray | None = None) -> Weighed:
+    """All columns of ``docs`` with both weights and the kind of label (0 if none).
+
+    The importance weight adds up the log ratios of ``models`` over the distinct n-grams (0 without
+    them); the filter weight those of ``ratios``, scaled for long texts. doc_id is cast to long.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((ratios, labels, models))
+    names = [unused(docs, name) for name in ("_ratio_weight", "_log_weight", "_label_kind")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        table, known, plain = shared.value
         for batch in batches:
             for part in W.slices(batch, "text"):
                 buckets, owner = ngrams(part.column("text"))
@@ -241,12 +264,14 @@ def weigh(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
                 gains = np.bincount(owner, values, part.num_rows) - losses
                 sums = (losses * (USUAL / np.maximum(USUAL, sizes))
                         + gains * (GAINS / np.maximum(GAINS, sizes)))
-                kinds = known.of(part.column("doc_id").cast(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(sums), pa.array(kinds.astype(np.int8))],
-                    [*part.schema.names, "_log_weight", "_label_kind"])
+                whole = np.zeros(part.num_rows) if plain is None else np.bincount(
+                    owner, plain[buckets].astype(np.float64), part.num_rows)
+                kinds = known.of(part.column("m0").cast(pa.int64()))
+                yield part, [pa.array(whole), pa.array(sums), pa.array(kinds.astype(np.int8))]
 
-    return docs.mapInArrow(run, f"{own}, _log_weight double, _label_kind tinyint")
+    added = [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.DoubleType()),
+             T.StructField(names[2], T.ByteType())]
+    return Weighed(map_beside(docs, "text", run, added, ["doc_id"]), *names)
 
 
 def best_cut(weighed: DataFrame) -> float:
@@ -270,7 +295,7 @@ def best_cut(weighed: DataFrame) -> float:
     return cut
 
 
-def _key(temperature: float) -> Column:
+def _key(weight: Column, temperature: float) -> Column:
     """Weight over temperature plus Gumbel noise hashed from id and text.
 
     As a non-negative integer of 62 bits, in steps far below the noise, to be counted by digits.
@@ -279,8 +304,7 @@ def _key(temperature: float) -> Column:
         F.xxhash64(F.lit("gumbel"), F.col("doc_id").cast("long"), "text"), 11)
     uniform = (noise.cast("double") + 0.5) / F.lit(2.0**53)
     end = F.lit(2.0**19)
-    key = F.greatest(-end, F.least(end, F.col("_log_weight") / temperature)) - F.log(
-        -F.log(uniform))
+    key = F.greatest(-end, F.least(end, weight / temperature)) - F.log(-F.log(uniform))
     return F.round((key + 2.0**20) * 2.0**40).cast("long")
 
 
@@ -303,52 +327,77 @@ def kth_largest(keys: DataFrame, key: str, k: int) -> int | None:
 
 @dataclass
 class Selection:
-    """A fitted selection: the documents' weights and keys, the ratios, and the k-th key."""
+    """A fitted selection: weights and keys of the documents, the ratios, and the last keys taken.
+
+    ``least`` is the filter's key of the last document kept, ``drawn`` the importance key of the
+    last one sampled.
+    """
 
     weighed: DataFrame
     ratios: np.ndarray
     labels: Labels
     temperature: float
     least: int | None
+    drawn: int | None
 
     def kept(self, key: Column) -> Column:
         return F.lit(False) if self.least is None else key >= self.least
 
+    def sampled(self, key: Column) -> Column:
+        return F.lit(False) if self.drawn is None else key >= self.drawn
+
 
 def select(docs: DataFrame, labels: DataFrame, k: int | None = None,
            temperature: float = TEMPERATURE, limit: int = LABELS) -> Selection:
-    """Weigh ``docs`` (doc_id, text) and find the key of the last of ``k`` selected ones.
+    """Weigh ``docs`` (doc_id, text), filter them and sample them.
 
-    By default k is the number of documents at or over the best cut.
+    The filter keeps the ``k`` documents of greatest filter key; by default those at or over the best
+    cut. The sample takes as many by Gumbel top-k of the importance weights, at temperature 1.
     """
     known = sample_labels(labels, limit)
-    ratios = log_ratios(*count_ngrams(docs, known))
+    counts, documents = count_ngrams(docs, known)
+    ratios = log_ratios(counts, documents)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    made = weigh(narrow, ratios, known, model_ratios(counts, documents))
     weighed = keep(
-        weigh(narrow, ratios, known).select(
-            "doc_id", F.col("_log_weight").alias("log_weight"),
-            F.col("_label_kind").alias("label_kind"), _key(temperature).alias("key"),
+        made.frame.select(
+            "doc_id", F.col(made.filter).alias("log_weight"),
+            F.col(made.kind).alias("label_kind"),
+            _key(F.col(made.filter), temperature).alias("key"),
+            F.col(made.ratio).alias("ratio_weight"),
+            _key(F.col(made.ratio), 1.0).alias("ratio_key"),
         ), "weighed",
     )
     if k is None:
         cut = best_cut(weighed)
         k = weighed.where(F.col("log_weight") >= F.lit(float(cut))).count()
-    least = kth_largest(weighed.select("key"), "key", k) if k else None
-    return Selection(weighed.drop("label_kind"), ratios, known, temperature, least)
+    least, drawn = (kth_largest(weighed.select(key), key, k) if k else None
+                    for key in ("key", "ratio_key"))
+    return Selection(weighed.drop("label_kind"), ratios, known, temperature, least, drawn)
 
 
 def selected(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The selected documents, all columns unchanged.
+    """The documents that the filter keeps, all columns unchanged, whatever their names.
 
     Weights are computed again from the texts rather than joined: no text is shuffled.
     """
     made = select(docs, labels, **options)
     weighed = weigh(docs, made.ratios, made.labels)
-    return weighed.where(made.kept(_key(made.temperature))).drop("_log_weight", "_label_kind")
+    key = _key(F.col(weighed.filter), made.temperature)
+    return weighed.frame.where(made.kept(key)).drop(weighed.ratio, weighed.filter, weighed.kind)
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
-    """All documents weighed against the labelled ones, and the selection."""
+    """All documents: importance weight and Gumbel key, whether the filter keeps it, and the sample.
+
+    ``log_weight`` and ``key`` are those of the two models; ``sampled`` marks the k greatest keys, k
+    being the number of documents that the filter keeps. ``kept`` is the filter's verdict by
+    ``filter_weight``.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     made = select(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return made.weighed.withColumn("kept", made.kept(F.col("key")))
+    return made.weighed.select(
+        "doc_id", F.col("ratio_weight").alias("log_weight"), F.col("ratio_key").alias("key"),
+        made.kept(F.col("key")).alias("kept"), made.sampled(F.col("ratio_key")).alias("sampled"),
+        F.col("log_weight").alias("filter_weight"),
+    )

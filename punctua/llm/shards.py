@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctua.llm.shared import keep
+from punctua.llm.shared import keep, unused
 
 SHARDS = 24
 # Consecutive rows of one input partition that are numbered together.
@@ -77,14 +77,15 @@ def place(frame: DataFrame, tree: Tree, key: str, name: str) -> DataFrame:
         return F.element_at(F.array(*map(F.lit, heads)), F.col(at) + 1)
 
     id_ = F.col(key).cast("long")
-    chosen = frame.withColumn("_region", _choose(
+    at_region, at_rack = unused(frame, "_region"), unused(frame, "_rack")
+    chosen = frame.withColumn(at_region, _choose(
         id_, "region", F.lit(0), [[sum(map(sum, region)) for region in tree.regions]]
-    )).withColumn("_rack", head(rack_heads, "_region") + _choose(
-        id_, "rack", F.col("_region"), [[sum(rack) for rack in reg] for reg in tree.regions]
-    )).withColumn(name, head(shard_heads, "_rack") + _choose(
-        id_, "shard", F.col("_rack"), [list(rack) for rack in racks]
+    )).withColumn(at_rack, head(rack_heads, at_region) + _choose(
+        id_, "rack", F.col(at_region), [[sum(rack) for rack in reg] for reg in tree.regions]
+    )).withColumn(name, head(shard_heads, at_rack) + _choose(
+        id_, "shard", F.col(at_rack), [list(rack) for rack in racks]
     ))
-    return chosen.drop("_region", "_rack")
+    return chosen.drop(at_region, at_rack)
 
 
 def measured(docs: DataFrame) -> DataFrame:

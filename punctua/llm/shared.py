@@ -56,5 +56,13 @@ def map_beside(docs: DataFrame, text: str, function: Callable, added: Sequence[T
     return carried.mapInArrow(run, schema).toDF(*names, *[field.name for field in added])
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of the frame has, whatever the case."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

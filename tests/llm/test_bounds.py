@@ -2,13 +2,14 @@
 
 import random
 import time
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 import helpers as H
-from punctua.llm import pii, pivots, postings
+from punctua.llm import bpe, pii, pivots, postings, quality, shards
 from punctua.llm import words as W
 from pyspark.sql import functions as F
 
@@ -145,3 +146,75 @@ def test_parted_lists_find_what_whole_lists_find(spark, monkeypatch):
         found = pivots.near_vectors(frame, pivots=32).collect()
         results.append(sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found))
     assert results[0] == results[1] and sum(r[1] for r in results[0]) > 1000
+
+
+def test_importance_weights_and_their_sample_equal_brute_force(spark, tmp_path):
+    dice = random.Random(5)
+    texts = [" ".join(f"w{min(dice.randrange(90), dice.randrange(90))}" for _ in range(dice.randrange(30)))
+             for _ in range(300)] + [None, "", "w1 w2", "w1 w2"]
+    docs = H.documents(spark, texts, [*range(302), 302, 302])
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 7 == 0)) for i in range(0, 300, 2)],
+                                   "doc_id long, quality int, toxic int")
+    made = quality.select(docs, labels, k=50)
+    known = quality.sample_labels(labels)
+    kinds = dict(zip(known.ids.tolist(), known.kinds.tolist()))
+    grams = [set(quality.ngrams(pa.array([t], pa.string()))[0].tolist()) for t in texts]
+    ids = [*range(302), 302, 302]
+    target = [g for i, g in zip(ids, grams) if kinds.get(i) == quality.FIT]
+    prior = quality.PRIOR * len(target) ** 0.5
+    ratio = {}
+    for gram in set().union(*grams):
+        expected = sum(gram in g for g in grams) * len(target) / len(grams)
+        ratio[gram] = np.log((sum(gram in g for g in target) + prior) / (expected + prior))
+    wanted = sorted((i, round(sum(ratio[x] for x in g), 3)) for i, g in zip(ids, grams))
+    rows = made.weighed.withColumn("sampled", made.sampled(F.col("ratio_key"))).collect()
+    got = sorted((r["doc_id"], round(r["ratio_weight"], 3)) for r in rows)
+    assert [i for i, _ in got] == [i for i, _ in wanted]
+    assert [w for _, w in got] == pytest.approx([w for _, w in wanted], abs=0.01)
+    # The noise is that of the hash, and the sample the 50 greatest keys, equal ones included.
+    noise = {(r["doc_id"], r["text"]): (r["h"] % 2**64 >> 11) for r in docs.select(
+        "doc_id", "text", F.xxhash64(F.lit("gumbel"), "doc_id", "text").alias("h")).collect()}
+    weights = {i: w for i, w in zip(ids, (sum(ratio[x] for x in g) for g in grams))}
+    keys = {r["doc_id"]: r["ratio_key"] / 2.0**40 - 2.0**20 for r in rows}
+    for (i, _), h in noise.items():
+        assert keys[i] == pytest.approx(weights[i] - np.log(-np.log((h + 0.5) / 2.0**53)), abs=0.01)
+    ranked = sorted((r["ratio_key"] for r in rows), reverse=True)
+    assert [r["sampled"] for r in rows] == [r["ratio_key"] >= ranked[49] for r in rows]
+
+
+def test_ties_at_the_last_key_are_all_selected(spark):
+    docs = H.documents(spark, ["same text"] * 6 + ["other words"] * 3, [1] * 6 + [2] * 3)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    made = quality.select(docs, labels, k=2)
+    counts = made.weighed.where(made.kept(F.col("key"))).groupBy("doc_id").count().collect()
+    assert [r["count"] for r in counts] in ([6], [3])
+
+
+def test_columns_of_internal_names_stay(spark):
+    odd = {"_log_weight": F.lit("mine"), "_label_kind": F.lit("own"), "_ratio_weight": F.lit(1),
+           "a.b": F.lit(2), "at": F.struct(F.lit(3).alias("c d")), "_region": F.lit(4),
+           "_rack": F.lit(5), "_row": F.lit(6), "_RACK_": F.lit(7)}
+    docs = H.documents(spark, ["x y", "x z", None]).withColumns(odd)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    kept = quality.selected(docs, labels)
+    assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+    placed = shards.place(docs, shards.even_tree(4), "doc_id", "shard")
+    assert placed.columns == [*docs.columns, "shard"] and placed.first()["_region"] == 4
+    coded = bpe.encode_checked(docs.drop("a.b"), bpe.default_ranks()).first()
+    assert coded["at"]["c d"] == 3 and coded["restored"]
+
+
+def test_sizes_checksums_and_draws_of_shards(spark, tmp_path):
+    texts = [f"text {i} é" * (i % 5) for i in range(400)] + [None]
+    H.documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in shards.op3_sharding(spark, str(tmp_path)).collect()}
+    slots = {}
+    for i, text in enumerate(texts):
+        data = (text or "").encode()
+        assert (rows[i]["size"], rows[i]["text_crc32"]) == (len(data) + 8, zlib.crc32(data))
+        assert 0 <= rows[i]["shard"] < 24 and rows[i]["law"] == "key"
+        assert rows[i]["grown_shard"] in (rows[i]["shard"], 24)
+        slots.setdefault(rows[i]["shard"], []).append(rows[i]["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    moved = sum(r["grown_shard"] == 24 for r in rows.values())
+    assert 3 <= moved <= 40 and max(map(len, slots.values())) <= 40

@@ -16,7 +16,7 @@ COLUMNS = {
     "op2_byte_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op3_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op4_near_duplicates": ["doc_id", "n_shingles", "component_id", "kept"],
-    "op5_quality": ["doc_id", "log_weight", "key", "kept"],
+    "op5_quality": ["doc_id", "log_weight", "key", "kept", "sampled", "filter_weight"],
     "op6_token_codes": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op7_near_vectors": ["vec_id", "n_links", "component_id", "kept"],
     "op9_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
