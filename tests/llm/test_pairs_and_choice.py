@@ -244,3 +244,33 @@ def test_pipeline_stages(spark):
         docs, before = made, after
     assert docs.where("not restored or n_tokens <> size(ids)").isEmpty()
     assert docs.where("n_chars <> char_length(text)").isEmpty()
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_on_odd_tables(spark, tmp_path, empty):
+    """Null and repeated ids, null and empty texts, columns of internal names, and empty tables."""
+    dice = random.Random(8)
+    texts = [" ".join(f"w{dice.randrange(400)}" for _ in range(30)) for _ in range(60)]
+    texts += [texts[0], texts[1] + " more", None, "", "", "one two three four five six seven eight nine ten"]
+    ids = [*range(60), 60, None, None, 3, 3, 61]
+    odd = {"_row": F.lit("mine"), "text_kept": F.lit("t"), "n_dropped": F.lit(-1), "_log_weight": F.lit(0),
+           "row": F.lit(5), "block": F.lit("b"), "c0": F.lit("c")}
+    docs = H.documents(spark, texts, ids).withColumns(odd)
+    tables = {
+        "documents": docs, "labels": spark.createDataFrame([], "doc_id long, quality int, toxic int"),
+        "benchmark": spark.createDataFrame(
+            [(1, "one two three four five six seven eight nine ten")], "item_id long, text string"),
+    }
+    for name, table in tables.items():
+        (table.limit(0) if empty else table).write.parquet(f"{tmp_path}/{name}.parquet")
+    made = corpus_pipeline.run(spark, str(tmp_path))
+    assert made.columns == [*docs.columns, "ids", "n_tokens", "restored"]
+    rows = made.collect()
+    if empty:
+        assert rows == []
+        return
+    assert {tuple(r[name] for name in odd) for r in rows} == {("mine", "t", -1, 0, 5, "b", "c")}
+    found = sorted(((r["doc_id"], r["text"]) for r in rows), key=repr)
+    # The copy of document 0 and the near copy of 1 go, and the document that is a benchmark item.
+    assert found == sorted(list(zip(range(60), texts)) + [(None, None), (3, ""), (3, "")], key=repr)
+    assert all(r["restored"] for r in rows)
