@@ -22,7 +22,7 @@ from punctua.operators import prepare
 from punctua.operators.settle import fresh_path
 from punctua.plans.ingest import Stored, ingest
 from punctua.plans.modelling import arranged
-from punctua.sources import adapters
+from workload import adapters
 from workload import queries as W
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

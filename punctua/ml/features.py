@@ -46,9 +46,14 @@ def spread_for_fitting(frame: DataFrame) -> DataFrame:
 def for_short_steps(frame: DataFrame, rows: int) -> DataFrame:
     """Fewer partitions of a small frame for fits that run one short job per step.
 
-    A frame whose partitions already hold many rows is left as it is.
+    Rows are dealt by content again, so that samples of trees do not depend on where cached
+    partitions lie. A frame whose partitions already hold many rows is left as it is.
     """
-    return frame.coalesce(max(1, -(-rows // ROWS_PER_SHORT_TASK)))
+    wanted = max(1, -(-rows // ROWS_PER_SHORT_TASK))
+    if wanted > FEW_TASKS:
+        return frame
+    columns = sorted(frame.columns)
+    return frame.repartition(wanted, *columns).sortWithinPartitions(*columns)
 
 
 def assembler(output: str = "features") -> VectorAssembler:

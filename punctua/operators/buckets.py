@@ -17,12 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punctua.operators.joins import HEAVY_ROWS, HEAVY_SHARE
+from punctua.operators.joins import HEAVY_ROWS, HEAVY_SHARE, key_counts
 from punctua.operators.settle import fresh_path
 
-# Keys that the one-pass sketch of frequent keys keeps; those of over 1/500 of the rows are among them.
-TRACKED = 10_000
-
 
 def bucket_count(spark: SparkSession) -> int:
     """Buckets of new tables: one for each task of a shuffle."""
@@ -37,16 +34,8 @@ def bucket_of(key: str, buckets: int) -> Column:
 def frequent_keys(
     frame: DataFrame, key: str, share: float = HEAVY_SHARE, at_least: int = HEAVY_ROWS
 ) -> list:
-    """Keys of over ``share`` of the rows and ``at_least`` rows, from one pass without a shuffle.
-
-    A mergeable sketch of bounded size counts frequent keys from above, so none is missed; one that
-    is listed needlessly costs a little balance and changes no result. At most 1/share and some.
-    """
-    found = frame.where(F.col(key).isNotNull()).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(`{key}`, {int(2 / share)}, {TRACKED})").alias("top")).first()
-    bar = max(found.rows * share, at_least)
-    return sorted(item["item"] for item in found.top or [] if item["count"] > bar)
+    """Keys that hold so many rows that they should go a way of their own; there are few."""
+    return [value for value, _ in key_counts(frame, key, share, at_least)]
 
 
 def spread_by_key(

@@ -218,19 +218,22 @@ def histogram(
     Bins are closed on the left, the last one on both sides; empty bins are listed. Equal
     values get a range of width 1 around them.
     """
-    clamped = frame.select(clamp(number(value), *bounds).alias("x")).dropna()
-    low, high = clamped.agg(F.min("x"), F.max("x")).first()
-    if low is None:
-        low, high = 0.0, 1.0
-    elif low == high:
-        low, high = low - 0.5, high + 0.5
-    width = (high - low) / bins
+    clamped = frame.select(clamp(number(value), *bounds).alias("x")).where(F.col("x").isNotNull())
+    ends = clamped.agg(F.min("x").alias("a"), F.max("x").alias("b"))  # one row
+    apart = F.col("a") < F.col("b")
+    ends = ends.select(
+        F.when(F.col("a").isNull(), 0.0).otherwise(F.when(apart, F.col("a")).otherwise(F.col("a") - 0.5))
+        .alias("_low"),
+        F.when(F.col("a").isNull(), 1.0).otherwise(F.when(apart, F.col("b")).otherwise(F.col("b") + 0.5))
+        .alias("_high"),
+    ).withColumn("_width", (F.col("_high") - F.col("_low")) / F.lit(bins))
 
     def edge(number: Column) -> Column:
-        return F.when(number == bins, F.lit(high)).otherwise(F.lit(low) + number * F.lit(width))
+        return F.when(number == bins, F.col("_high")).otherwise(
+            F.col("_low") + number * F.col("_width"))
 
-    guess = F.least(F.floor((F.col("x") - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
-    placed = clamped.withColumn("_guess", guess).select(
+    guess = F.least(F.floor((F.col("x") - F.col("_low")) / F.col("_width")), F.lit(bins - 1))
+    placed = clamped.crossJoin(F.broadcast(ends)).withColumn("_guess", guess).select(
         F.when(F.col("x") < edge(F.col("_guess")), F.col("_guess") - 1)
         .when((F.col("_guess") < bins - 1) & (F.col("x") >= edge(F.col("_guess") + 1)),
               F.col("_guess") + 1)
@@ -238,7 +241,7 @@ def histogram(
     )
     filled = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     spine = frame.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return spine.join(filled, "bin", "left").select(
+    return spine.join(filled, "bin", "left").crossJoin(F.broadcast(ends)).select(
         F.col("bin").cast("int").alias("bin"),
         edge(F.col("bin")).alias("lower"),
         edge(F.col("bin") + 1).alias("upper"),

@@ -9,11 +9,13 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctua.operators.settle import BROADCAST_ROWS, is_small, settle
+from punctua.operators.settle import BROADCAST_ROWS, fits_broadcast
 
 NULL_SALTS = 4096
 HEAVY_SHARE = 1 / 500
 HEAVY_ROWS = 1_000_000
+# Keys that the sketch of frequent keys keeps: its error is far below HEAVY_SHARE.
+TRACKED = 10_000
 
 
 def _spread(frame: DataFrame, salts: Column) -> Column:
@@ -41,28 +43,39 @@ def join_lookup(
     broadcast_rows: int = BROADCAST_ROWS,
     null_keys: bool = False,
 ) -> DataFrame:
-    """Join a settled lookup table: broadcast when its counted size allows, else shuffled.
+    """Join a settled lookup table: broadcast when its counted rows and bytes allow, else shuffled.
 
     Each lookup row is there once per key, so the skew join can split the facts of a hot key.
     Both ways give the same rows; ``null_keys`` lets null keys meet.
     """
-    small = is_small(lookup, broadcast_rows)
+    small = fits_broadcast(lookup, broadcast_rows)
     return keyed_join(facts, F.broadcast(lookup) if small else lookup, keys, how, null_keys)
 
 
-def heavy_keys(
+def key_counts(
     facts: DataFrame, key: str, share: float = HEAVY_SHARE, at_least: int = HEAVY_ROWS
-) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows, with the tasks each needs as ``_salts``.
+) -> list[tuple]:
+    """``(key, rows)`` of keys of over ``share`` of the rows and ``at_least`` rows, in one pass.
 
-    There can be fewer than 1/share such keys, so the result is always small.
+    No key is shuffled: a mergeable sketch of bounded size counts frequent keys, from above, so none
+    is missed; a key listed needlessly costs a little balance and changes no result. There can be
+    fewer than 1/share such keys and some near it.
     """
-    rows = facts.count()
-    bar = max(rows * share, at_least)
-    keys = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return settle(keys.where(F.col(key).isNotNull() & (F.col("_rows") > bar)).select(
-        F.col(key), F.ceil(F.col("_rows") / F.lit(max(at_least, 1))).cast("int").alias("_salts")
-    ))
+    found = facts.where(F.col(key).isNotNull()).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.expr(f"approx_top_k(`{key}`, {int(2 / share)}, {TRACKED})").alias("top")).first()
+    bar = max(found.rows * share, at_least)
+    return sorted((item["item"], item["count"]) for item in found.top or [] if item["count"] > bar)
+
+
+def heavy_keys(
+    facts: DataFrame, key: str, share: float = HEAVY_SHARE, at_least: int = HEAVY_ROWS
+) -> DataFrame:
+    """The keys of :func:`key_counts`, with the tasks each needs as ``_salts``."""
+    rows = [(value, -(-rows // max(at_least, 1))) for value, rows in key_counts(
+        facts, key, share, at_least)]
+    kind = facts.select(key).schema[0].dataType.simpleString()
+    return facts.sparkSession.createDataFrame(rows, f"`{key}` {kind}, _salts int")
 
 
 def join_skewed(

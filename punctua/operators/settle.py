@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Rows up to which a table of a few short columns is handled by one task.
 SMALL_ROWS = 1_000_000
-# Rows up to which a lookup table is broadcast to every executor.
+# Rows and bytes up to which a lookup table is broadcast to every executor.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+
+# Paths given out in the innermost block of :func:`intermediates`.
+_given: ContextVar[list[str] | None] = ContextVar("given", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,7 +33,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """Unused path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (given := _given.get()) is not None:
+        given.append(path)
+    return path
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, the tables stored in the shared folder within it.
+
+    For work whose results are written elsewhere before the block ends. Paths asked for
+    before the block, or in other threads, stay.
+    """
+    token = _given.set([])
+    try:
+        yield
+    finally:
+        paths = _given.get()
+        _given.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def settle(frame: DataFrame) -> DataFrame:
@@ -51,3 +80,13 @@ def store(frame: DataFrame) -> DataFrame:
 def is_small(kept: DataFrame, rows: int = SMALL_ROWS) -> bool:
     """Whether a settled or stored frame has at most ``rows`` rows."""
     return kept.count() <= rows
+
+
+def fits_broadcast(
+    kept: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a settled or stored frame has at most ``rows`` rows and about ``size`` bytes."""
+    text = F.to_json(F.struct(*[F.col(f"`{name}`") for name in kept.columns]))
+    found = kept.limit(rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(text)).alias("bytes")).first()
+    return found.rows <= rows and (found.bytes or 0) <= size

@@ -11,7 +11,7 @@ from punctua.operators.buckets import (
     bucket_count, frequent_keys, read_buckets, spread_by_key, write_buckets,
 )
 from punctua.operators.prepare import build_trips, enrich_stored, trip_keys
-from punctua.operators.settle import store
+from punctua.operators.settle import intermediates, store
 from punctua.sources.tables import (
     current_version, publish, read_csv, read_table, write_table,
 )
@@ -73,6 +73,11 @@ def ingest(raw: Raw, stored: Stored, train_only: Column | None = None) -> None:
     ``train_only`` picks the trips whose labels the route features may see.
     """
     spark = raw.trips.sparkSession
+    with intermediates(spark):
+        _ingest(spark, raw, stored, train_only)
+
+
+def _ingest(spark: SparkSession, raw: Raw, stored: Stored, train_only: Column | None) -> None:
     trips = build_trips(raw.trips, raw.disruptions, train_only)
     write_table(trips, stored.trips, cluster_by=["service_code", "scheduled_depart"], in_ranges=True)
     write_table(raw.disruptions, stored.disruptions, cluster_by=["service_code", "start_time"])

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from punctua.operators import buckets
+from punctua.operators import buckets, settle
 from punctua.sources import tables as io
 
 
@@ -96,3 +96,22 @@ def test_a_reader_between_writing_and_switching_sees_the_old_rows(spark, tmp_pat
     io.write_table(spark.range(9), path)
     io.publish(spark, path, write)
     assert seen == [9] and io.read_table(spark, path).count() == 3
+
+
+def test_intermediates_go_and_other_tables_stay(spark):
+    before = settle.store(spark.range(3))
+    with settle.intermediates(spark):
+        inside = settle.store(spark.range(5))
+        outer = settle.fresh_path(spark, "outer")
+        with settle.intermediates(spark):
+            settle.store(spark.range(7)).write.parquet(outer)
+        assert inside.count() == 5 and spark.read.parquet(outer).count() == 7
+    assert before.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(outer)
+
+
+def test_lookups_are_broadcast_by_rows_and_bytes(spark):
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "i int, t string")
+    assert settle.fits_broadcast(wide, 50) and not settle.fits_broadcast(wide, 49)
+    assert not settle.fits_broadcast(wide, 50, 10_000)

@@ -17,14 +17,14 @@ from punctua.operators import buckets, explore, headway, kpi, prepare, quality
 from punctua.operators.settle import fresh_path
 from punctua.plans import dashboard, modelling
 from punctua.plans.ingest import Stored, ingest, stored_keys, stored_pings
-from punctua.sources import adapters
+from workload import adapters
 from punctua.sources import tables as io
 
 SCALED = ["load_factor", "vehicle_age_years"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-_stored: dict[tuple[str, str], Stored] = {}
+_stored: dict[tuple, Stored] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
@@ -34,8 +34,8 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
 
 
 def stored_tables(spark: SparkSession, folder: str) -> Stored:
-    """Stored tables built from ``folder``, once per application."""
-    key = (spark.sparkContext.applicationId, folder)
+    """Stored tables built from ``folder``, once per application while its files are the same."""
+    key = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if key not in _stored:
         stored = Stored(fresh_path(spark, "stored"))
         ingest(adapters.raw(spark, folder), stored)
@@ -43,6 +43,15 @@ def stored_tables(spark: SparkSession, folder: str) -> Stored:
     return _stored[key]
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Sizes and times of the tables that the stored ones are built from."""
+    places = [spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+              for name in ("events", "orders", "lineitem")]
+    files = places[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [file for place in places for file in files.listStatus(place)]
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def stored_trips(spark: SparkSession, folder: str) -> DataFrame:
     return io.read_table(spark, stored_tables(spark, folder).trips)
 
