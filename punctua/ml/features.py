@@ -14,7 +14,7 @@ from punctua import config
 from punctua.functions.columns import is_complete
 from punctua.operators.joins import join_lookup
 from punctua.operators.selection import FEW_ROWS, cut_points
-from punctua.operators.settle import settle
+from punctua.operators.settle import gather, settle
 
 ROWS_PER_TASK = 10_000
 ROWS_PER_SHORT_TASK = 40_000
@@ -180,7 +180,7 @@ def _bands(
     frame: DataFrame, label: str, order: Column, shares: Sequence[float], small_rows: int
 ) -> DataFrame:
     """Add ``_band``: how many of the cut points of its class lie before the row."""
-    cuts = settle(cut_points(frame, label, order, shares, small_rows))
+    cuts = gather(cut_points(frame, label, order, shares, small_rows))  # one row for each class
     placed = join_lookup(
         frame.withColumn("_order", order), cuts, [label], "inner", null_keys=True
     )

@@ -15,6 +15,8 @@ SMALL_ROWS = 1_000_000
 # Rows and bytes up to which a lookup table is broadcast to every executor.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
+# Rows that come to the driver at once.
+GATHERED_ROWS = 10_000
 
 # Paths given out in the innermost block of :func:`intermediates`.
 _given: ContextVar[list[str] | None] = ContextVar("given", default=None)
@@ -77,6 +79,17 @@ def store(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def gather(frame: DataFrame, rows: int = GATHERED_ROWS) -> DataFrame:
+    """Compute a result once: up to ``rows`` rows become a local frame, a larger one is stored.
+
+    For results that are small unless there are very many groups; both ways give the same rows.
+    """
+    found = frame.limit(rows + 1).collect()
+    if len(found) > rows:
+        return store(frame)
+    return frame.sparkSession.createDataFrame(found, frame.schema)
+
+
 def is_small(kept: DataFrame, rows: int = SMALL_ROWS) -> bool:
     """Whether a settled or stored frame has at most ``rows`` rows."""
     return kept.count() <= rows
