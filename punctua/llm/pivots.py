@@ -4,7 +4,7 @@ Each vector is described by its ``NEAREST`` nearest of at most ``PIVOTS`` refere
 order. Inverted lists hold the vectors of each label and pivot. Within a list, two vectors that
 share at least ``SHARED`` pivots are candidates and are verified by their cosine in double
 precision. A pair met in several lists counts in that of its first shared pivot only; a list of
-more than a block is parted further by the second shared pivot.
+more than ``PARTED`` blocks is parted further by the second shared pivot.
 
 Vectors are compared only under equal, non-null labels and equal lengths. A vector that is null,
 empty, zero, or holds null or non-finite numbers links with nothing; numbers may have any size. Equal vectors are one class;
@@ -30,6 +30,8 @@ from punctua.llm.shared import keep
 PIVOTS, NEAREST, SHARED = 256, 8, 2
 SAMPLE, APART = 2048, 0.8
 BLOCK = 1024
+# Blocks from which a list is parted.
+PARTED = 8
 # Stands for no second pivot.
 NO_SECOND = -2
 COSINE = 0.98
@@ -159,11 +161,12 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, pivots: int = PIVOTS,
     lists = described.withColumns({
         "pivot": F.explode("near"), "width": F.octet_length("vector"),
     })
-    # A list of more than a block is parted by the second shared pivot: every pair that counts has
-    # one, a later number than the first, so nothing is lost and fewer vectors meet.
+    # A long list is parted by the second shared pivot: every pair that counts has one, a later
+    # number than the first, so nothing is lost and fewer vectors meet. A vector then goes to a list
+    # for each later pivot it has, up to seven, instead of a task for each block.
     key = ["label", "width", "pivot"]
     long = lists.groupBy(*key).agg(
-        (F.count("*") > BLOCK).alias("long"))
+        (F.count("*") > PARTED * BLOCK).alias("long"))
     later = F.when(
         F.col("long") & (F.size("near") > 1) & F.lit(shared > 1),
         F.filter("near", lambda other: other > F.col("pivot")),

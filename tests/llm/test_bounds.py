@@ -111,6 +111,7 @@ def usable(vector):
 @pytest.mark.parametrize("block", [1024, 8])
 def test_vectors_of_any_size_equal_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(pivots, "BLOCK", block)
+    monkeypatch.setattr(pivots, "PARTED", 1)
     dice = np.random.Generator(np.random.PCG64(7))
     base = dice.normal(size=(25, 4))
     rows = []
@@ -141,6 +142,7 @@ def test_parted_lists_find_what_whole_lists_find(spark, monkeypatch):
     rows = [(i, (base[i % 6] + 0.04 * dice.normal(size=16)).tolist(), "a") for i in range(240)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
     results = []
+    monkeypatch.setattr(pivots, "PARTED", 1)
     for block in (1024, 16):
         monkeypatch.setattr(pivots, "BLOCK", block)
         found = pivots.near_vectors(frame, pivots=32).collect()
