@@ -125,15 +125,19 @@ def join_buckets(
     return reduce(DataFrame.unionByName, parts)
 
 
+# Found once for each count: they depend on nothing else.
+_range_keys: dict[int, list[int]] = {}
+
+
 def range_keys(spark: SparkSession, count: int) -> list[int]:
     """For each of ``count`` buckets an integer that falls in it, so that ranges can be kept apart."""
     found: dict[int, int] = {}
     size = 16 * count
-    while len(found) < count:
-        rows = (
-            spark.range(size).select(F.col("id").cast("int").alias("k"))
-            .groupBy(bucket_of("k", count).alias("bucket")).agg(F.min("k").alias("k")).collect()
-        )
-        found = {row.bucket: row.k for row in rows}
+    while count not in _range_keys:
+        numbers = spark.range(size).select(F.col("id").cast("int").alias("k"))
+        for row in numbers.select("k", bucket_of("k", count).alias("bucket")).collect():
+            found.setdefault(row.bucket, row.k)
+        if len(found) == count:
+            _range_keys[count] = [found[bucket] for bucket in range(count)]
         size *= 4
-    return [found[bucket] for bucket in range(count)]
+    return _range_keys[count]

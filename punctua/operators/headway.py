@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctua.operators.buckets import bucket_count, range_keys, read_buckets, write_buckets
-from punctua.operators.settle import fresh_path, settle, store
+from punctua.operators.settle import fresh_path, gather, store
 
 SECONDS_PER_DAY = 86_400
 
@@ -67,13 +67,15 @@ def add_headway(
     ranged = read_buckets(spark, path, dealt.schema, "_range", parts)
     # The last route of each range and its last departure; nulls come before all others.
     last = F.max(F.struct(F.col("service_code").alias("route"), F.col(depart).alias("time")))
-    before = settle(  # one row for each range
-        ranged.groupBy("_part").agg(last.alias("_last")).select(
-            "_part", F.lag("_last").over(Window.orderBy("_part")).alias("_before")))
+    before = F.lag("_last").over(Window.orderBy("_part"))
+    before = gather(  # one row for each range
+        ranged.groupBy("_part").agg(last.alias("_last")).withColumn("_before", before)
+        .select("_part", F.col("_before.route").alias("_route"),
+                F.unix_timestamp("_before.time").alias("_second")))
     inside = Window.partitionBy("_range", "service_code").orderBy(depart, "trip_id", "_at")
-    carried = F.when(F.col("_before.route") == F.col("service_code"), F.col("_before.time"))
-    previous = F.coalesce(F.lag(depart).over(inside), carried)
-    gap = (F.unix_timestamp(depart) - F.unix_timestamp(previous)) / F.lit(60.0)
+    carried = F.when(F.col("_route") == F.col("service_code"), F.col("_second"))
+    previous = F.coalesce(F.unix_timestamp(F.lag(depart).over(inside)), carried)
+    gap = (F.unix_timestamp(depart) - previous) / F.lit(60.0)
     met = ranged.join(F.broadcast(before), "_part", "left")
     return met.withColumn(name, F.when(F.col("service_code").isNotNull(), gap)).select(
         *trips.columns, name

@@ -15,7 +15,7 @@ from punctua.functions.columns import (
 from punctua.operators.buckets import join_buckets
 from punctua.operators.headway import add_headway
 from punctua.operators.joins import join_lookup, join_skewed
-from punctua.operators.settle import settle
+from punctua.operators.settle import gather
 
 
 def derive_trip_columns(
@@ -140,7 +140,7 @@ def build_trips(
 ) -> DataFrame:
     """Cleaned and enriched trips with the stored columns, in ranges of route and departure."""
     cleaned = clean_trips(trips)
-    features = settle(route_features(cleaned, disruptions, train_only))
+    features = gather(route_features(cleaned, disruptions, train_only))
     with_features = add_route_features(add_weather_code(cleaned), features)
     return add_headway(with_features).select(*config.TRIP_COLUMNS)
 

@@ -3,40 +3,79 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctua import config
-from punctua.operators.settle import store
 
 
-def rules_by_key(frame: DataFrame, key: str, rules: Mapping[str, Column]) -> DataFrame:
-    """Per key value (null included): its rows ``n``, and how many meet each violation condition."""
-    return frame.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(condition).alias(name) for name, condition in rules.items()],
-    )
+@dataclass(frozen=True)
+class Checked:
+    """A table, its key, and what is checked of it.
 
+    ``unique`` names the rule that the key occurs once, ``rules`` the others with their conditions
+    of violation. ``uses`` gives for a rule the column that refers to another table, and that
+    table's place in the list.
+    """
 
-def key_report(by_key: DataFrame, key: str, unique_rule: str) -> DataFrame:
-    """Rows of all rules of :func:`rules_by_key`, and of the uniqueness of the key."""
-    known = F.col(key).isNotNull()
-    rules = [name for name in by_key.columns if name not in (key, "n")]
+    frame: DataFrame
+    key: str
+    unique: str
+    rules: Mapping[str, Column] = field(default_factory=dict)
+    uses: Mapping[str, tuple[str, int]] = field(default_factory=dict)
 
-    def total(value: Column) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0))
 
-    counted = by_key.agg(
-        total(F.col("n")).alias("_rows"), total(F.when(known, F.col("n"))).alias("_keyed"),
-        F.count_if(known & (F.col("n") > 1)).alias(unique_rule),
-        *[total(F.col(name)).alias(name) for name in rules],
-    )
-    rows = [F.struct(F.lit(name).alias("rule"), F.col(checked).alias("checked"),
-                     F.col(name).alias("violations"))
-            for name, checked in [*[(rule, "_rows") for rule in rules], (unique_rule, "_keyed")]]
-    return counted.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+def check_tables(tables: Sequence[Checked]) -> DataFrame:
+    """All rules of some tables; every table is read once, and one shuffle serves all of them.
+
+    Each row gives an entry for its key, one for each key that it refers to, and one for each rule
+    that it breaks. Entries of one key meet, whichever table they come from: a key without an entry
+    of its own table is unknown, so references need no join. Copies are folded before the
+    shuffle, so a hot key is one row for each task. Nothing runs before the result is read.
+    """
+    rules = [(place, name) for place, table in enumerate(tables) for name in table.rules]
+    uses = [name for table in tables for name in table.uses]
+    measures = ["own", *[f"use{i}" for i in range(len(uses))]]
+
+    def entry(what: int, key: Column, measure: str) -> Column:
+        return F.struct(F.lit(what).alias("what"), key.cast("string").alias("key"),
+                        *[F.lit(int(name == measure)).alias(name) for name in measures])
+
+    parts = []
+    for place, table in enumerate(tables):
+        found = [entry(place, F.col(table.key), "own")]
+        found += [entry(parent, F.col(column), f"use{uses.index(name)}")
+                  for name, (column, parent) in table.uses.items()]
+        found += [F.when(condition, entry(len(tables) + rules.index((place, name)), F.lit(None), "own"))
+                  for name, condition in table.rules.items()]
+        parts.append(table.frame.select(F.inline(F.array(*found))).where(F.col("what").isNotNull()))
+    by_key = reduce(DataFrame.unionByName, parts).groupBy("what", "key").agg(
+        *[F.sum(name).alias(name) for name in measures])
+
+    def total(what: int, measure: str, condition: Column | None = None) -> Column:
+        wanted = F.col("what") == what
+        wanted = wanted if condition is None else wanted & condition
+        return F.coalesce(F.sum(F.when(wanted, F.col(measure))), F.lit(0))
+
+    known = F.col("key").isNotNull()
+    rows = []
+    for place, table in enumerate(tables):
+        checked = total(place, "own")
+        rows += [(name, checked, total(len(tables) + rules.index((place, name)), "own"))
+                 for name in table.rules]
+        rows.append((table.unique, total(place, "own", known),
+                     F.count_if((F.col("what") == place) & known & (F.col("own") > 1))))
+        for name, (_, parent) in table.uses.items():
+            measure = f"use{uses.index(name)}"
+            rows.append((name, total(parent, measure, known),
+                         total(parent, measure, known & (F.col("own") == 0))))
+    counted = by_key.agg(F.array(*[
+        F.struct(F.lit(name).alias("rule"), checked.alias("checked"), violations.alias("violations"))
+        for name, checked, violations in rows]).alias("rows"))
+    return counted.select(F.inline("rows"))
 
 
 def not_null(*columns: str, prefix: str) -> dict[str, Column]:
@@ -52,41 +91,6 @@ def in_range(column: str, low: float, high: float, prefix: str) -> dict[str, Col
     return {f"{prefix}_{column}_range": ~F.col(column).between(low, high)}
 
 
-def keys_used(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored ``(column, key, n)``: how often each value of some key columns occurs, null included.
-
-    One read and one shuffle serve all columns; copies are folded before the shuffle.
-    """
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("key"))
-        for name in keys]))
-    return store(
-        frame.select(pairs.alias("pair")).groupBy("pair.column", "pair.key")
-        .agg(F.count(F.lit(1)).alias("n")))
-
-
-def used(counts: DataFrame, name: str) -> DataFrame:
-    """The counts of one column of :func:`keys_used`, as ``(name, n)``."""
-    return counts.where(F.col("column") == name).select(F.col("key").alias(name), "n")
-
-
-def known_reference(
-    counts: DataFrame, key: str, parents: DataFrame, parent_key: str, rule: str
-) -> DataFrame:
-    """Rows whose non-null ``key`` has no parent; a key is looked up once however often it occurs.
-
-    ``counts`` has a row for each key with its rows ``n``; ``parents`` holds each ``parent_key`` once.
-    """
-    known = counts.where(F.col(key).isNotNull())
-    parent = parents.select(F.col(parent_key).alias(key)).withColumn("_known", F.lit(1))
-    return known.join(parent, key, "left").agg(
-        F.lit(rule).alias("rule"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0))
-        .alias("violations"),
-    )
-
-
 def rejected_lines(rows: DataFrame, rejects: DataFrame, prefix: str) -> DataFrame:
     """For each reason why lines of a text table were rejected, how many of all lines they are."""
     lines = rows.select(F.lit(None).cast("string").alias("reason")).unionByName(
@@ -104,28 +108,21 @@ def quality_report(
     pings: DataFrame,
     read: Mapping[str, tuple[DataFrame, DataFrame]] | None = None,
 ) -> DataFrame:
-    """All declared rules over cleaned trips, disruptions and pings.
+    """All declared rules over cleaned trips, disruptions and pings, by :func:`check_tables`.
 
     ``read`` adds, by name of a text table, the lines that its reader kept and rejected.
-
-    Every table is read once, for rules and keys together; the stored keys of the trips serve the
-    reference of the pings as well.
     """
-    trips_by_key = store(rules_by_key(trips, "trip_id", {
-        **not_null("service_code", "operator", "is_delayed", prefix="trips"),
-        **in_range("delay_minutes_clipped", *config.STORED_DELAY_BOUNDS, prefix="trips"),
-    }))
-    disruptions_by_key = rules_by_key(disruptions, "disruption_id", {
-        **not_null("service_code", prefix="disruptions"),
-        **in_domain("severity", config.SEVERITIES, prefix="disruptions"),
-    })
-    ping_keys = keys_used(pings, ["location_id", "trip_id"])
-    parts = [
-        key_report(trips_by_key, "trip_id", "trips_trip_id_unique"),
-        key_report(disruptions_by_key, "disruption_id", "disruptions_disruption_id_unique"),
-        key_report(used(ping_keys, "location_id"), "location_id", "pings_location_id_unique"),
-        known_reference(used(ping_keys, "trip_id"), "trip_id", trips_by_key, "trip_id",
-                        "pings_trip_id_known"),
-    ]
+    parts = [check_tables([
+        Checked(trips, "trip_id", "trips_trip_id_unique", {
+            **not_null("service_code", "operator", "is_delayed", prefix="trips"),
+            **in_range("delay_minutes_clipped", *config.STORED_DELAY_BOUNDS, prefix="trips"),
+        }),
+        Checked(disruptions, "disruption_id", "disruptions_disruption_id_unique", {
+            **not_null("service_code", prefix="disruptions"),
+            **in_domain("severity", config.SEVERITIES, prefix="disruptions"),
+        }),
+        Checked(pings, "location_id", "pings_location_id_unique",
+                uses={"pings_trip_id_known": ("trip_id", 0)}),
+    ])]
     parts += [rejected_lines(rows, rejects, name) for name, (rows, rejects) in (read or {}).items()]
     return reduce(DataFrame.unionByName, parts)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
     """Delete, at the end of the block, the tables stored in the shared folder within it.
 
     For work whose results are written elsewhere before the block ends. Paths asked for
-    before the block, or in other threads, stay.
+    before the block stay, as do those of other threads but for :func:`side_by_side`.
     """
     token = _given.set([])
     try:
@@ -59,6 +61,19 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def side_by_side(spark: SparkSession, works: Sequence[Callable[[], None]]) -> None:
+    """Run independent pieces of work at once, each in a thread of its own.
+
+    All of them end before this returns; the first failure, in their order, is raised. Tables stored
+    by them belong to the block of :func:`intermediates` around this call.
+    """
+    with ThreadPoolExecutor(max(1, len(works))) as pool:
+        running = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(work)) for work in works]
+    for one in running:
+        one.result()
+
+
 def settle(frame: DataFrame) -> DataFrame:
     """Compute a small result once and keep it in the shared folder.
 

@@ -10,8 +10,8 @@ from punctua import schemas
 from punctua.operators.buckets import (
     bucket_count, frequent_keys, read_buckets, spread_by_key, write_buckets,
 )
-from punctua.operators.prepare import build_trips, enrich_stored, trip_keys
-from punctua.operators.settle import intermediates, store
+from punctua.operators.prepare import build_trips, clean_trips, enrich_stored, trip_keys
+from punctua.operators.settle import intermediates, side_by_side, store
 from punctua.sources.tables import (
     current_version, publish, read_csv, read_table, write_table,
 )
@@ -70,6 +70,7 @@ def ingest(raw: Raw, stored: Stored, train_only: Column | None = None) -> None:
     trips keep the ranges of the headway step, their only shuffle. Pings are kept by a hash of
     their trip, as are the trips' keys: raw pings are shuffled once to meet the keys and stay where
     they are, and later joins of the stored tables shuffle nothing.
+    The three tables are made side by side, so that short stages of one leave no executor idle.
     ``train_only`` picks the trips whose labels the route features may see.
     """
     spark = raw.trips.sparkSession
@@ -78,17 +79,27 @@ def ingest(raw: Raw, stored: Stored, train_only: Column | None = None) -> None:
 
 
 def _ingest(spark: SparkSession, raw: Raw, stored: Stored, train_only: Column | None) -> None:
-    trips = build_trips(raw.trips, raw.disruptions, train_only)
-    write_table(trips, stored.trips, cluster_by=["service_code", "scheduled_depart"], in_ranges=True)
-    write_table(raw.disruptions, stored.disruptions, cluster_by=["service_code", "start_time"])
     count = bucket_count(spark)
-    keys = trip_keys(read_table(spark, stored.trips))
-    publish(spark, stored.trip_keys, lambda path: write_buckets(
-        spread_by_key(keys, "trip_id", count), path, "trip_id", count))
-    heavy = frequent_keys(raw.pings, "trip_id")
-    enriched = enrich_stored(raw.pings, stored_keys(spark, stored, count), heavy)
-    publish(spark, stored.pings, lambda path: write_buckets(
-        enriched, path, "trip_id", count, ["trip_id", "timestamp"]))
+
+    def write_trips() -> None:
+        trips = build_trips(raw.trips, raw.disruptions, train_only)
+        write_table(trips, stored.trips, cluster_by=["service_code", "scheduled_depart"],
+                    in_ranges=True)
+
+    def write_disruptions() -> None:
+        write_table(raw.disruptions, stored.disruptions, cluster_by=["service_code", "start_time"])
+
+    def write_pings() -> None:
+        # The keys of the cleaned trips need no headway, so they do not wait for the stored trips.
+        keys = trip_keys(clean_trips(raw.trips))
+        publish(spark, stored.trip_keys, lambda path: write_buckets(
+            spread_by_key(keys, "trip_id", count), path, "trip_id", count))
+        heavy = frequent_keys(raw.pings, "trip_id")
+        enriched = enrich_stored(raw.pings, stored_keys(spark, stored, count), heavy)
+        publish(spark, stored.pings, lambda path: write_buckets(
+            enriched, path, "trip_id", count, ["trip_id", "timestamp"]))
+
+    side_by_side(spark, [write_trips, write_disruptions, write_pings])
 
 
 def stored_keys(spark: SparkSession, stored: Stored, buckets: int | None = None) -> DataFrame:
