@@ -1,6 +1,7 @@
 """Tables by key on disk, their joins, and published versions."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +116,24 @@ def test_lookups_are_broadcast_by_rows_and_bytes(spark):
     wide = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "i int, t string")
     assert settle.fits_broadcast(wide, 50) and not settle.fits_broadcast(wide, 49)
     assert not settle.fits_broadcast(wide, 50, 10_000)
+
+
+def test_work_side_by_side_ends_before_a_failure_is_raised(spark):
+    done, stored = [], []
+
+    def fails():
+        raise ValueError("first")
+
+    def works():
+        time.sleep(0.3)
+        stored.append(settle.store(spark.range(4)))
+        done.append(stored[0].count())
+
+    with settle.intermediates(spark):
+        with pytest.raises(ValueError, match="first"):
+            settle.side_by_side(spark, [fails, works])
+        assert done == [4]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FAILED_READ_FILE"):
+        stored[0].count()
+        spark.read.parquet(stored[0].inputFiles()[0])
+    settle.side_by_side(spark, [])

@@ -1,11 +1,12 @@
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from punctua.operators import headway, joins, prepare
+from punctua.operators import headway, joins, prepare, quality
 from punctua.operators.headway import add_headway
 
 
@@ -174,3 +175,42 @@ def test_train_only_share_leaves_out_other_rows(spark):
     found = prepare.route_features(trips, disruptions(spark), F.col("trip_id") == "T2")
     shares = {r.service_code: r.pct_on_time for r in found.collect()}
     assert shares == {"N1": 0.0, "N2": None}
+
+
+def test_rules_of_tables_that_refer_to_each_other(spark):
+    """Brute force over a hot key, repeated, unknown and null keys, and two references to one table."""
+    dice = random.Random(5)
+    parents = [(i if i % 9 else None, dice.choice([1, None])) for i in range(40)] + [(5, 1), (5, None)]
+    children = [(dice.choice([7, 7, 7, None, 3]) if i % 2 else i, dice.choice([7, 50, None, 11]),
+                 dice.choice([2, 90])) for i in range(300)]
+    tables = [
+        quality.Checked(spark.createDataFrame(parents, "id int, v int"), "id", "parents_unique",
+                        {"parents_v": F.col("v").isNull()}),
+        quality.Checked(spark.createDataFrame(children, "id int, a int, b int").repartition(3), "id",
+                        "children_unique", {"children_a": F.col("a") > 10, "children_never": F.col("b") < 0},
+                        {"a_known": ("a", 0), "b_known": ("b", 0)}),
+    ]
+    known = {i for i, _ in parents if i is not None}
+
+    def repeated(keys):
+        return sum(n > 1 for n in Counter(k for k in keys if k is not None).values())
+
+    def unknown(values):
+        used = [v for v in values if v is not None]
+        return len(used), sum(v not in known for v in used)
+
+    wanted = {
+        "parents_unique": (sum(i is not None for i, _ in parents), repeated(i for i, _ in parents)),
+        "parents_v": (len(parents), sum(v is None for _, v in parents)),
+        "children_unique": (sum(c[0] is not None for c in children), repeated(c[0] for c in children)),
+        "children_a": (300, sum(c[1] is not None and c[1] > 10 for c in children)),
+        "children_never": (300, 0),
+        "a_known": unknown(c[1] for c in children), "b_known": unknown(c[2] for c in children),
+    }
+    report = quality.check_tables(tables)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {r.rule: (r.checked, r.violations) for r in report.collect()} == wanted
+    empty = [quality.Checked(t.frame.limit(0), t.key, t.unique, t.rules, t.uses) for t in tables]
+    found = quality.check_tables(empty).collect()
+    assert {r.rule for r in found} == set(wanted) and {(r.checked, r.violations) for r in found} == {(0, 0)}
