@@ -1,10 +1,15 @@
 import datetime as dt
+from pathlib import Path
+from urllib.parse import urlparse
+
+import pytest
 
 from punctua import config, schemas
 from punctua.operators import quality
 from punctua.plans import dashboard
 from punctua.plans.ingest import Stored, ingest, raw_csv
 from punctua.sources import tables as io
+from workload import queries as workload
 
 TRIPS = """trip_id,service_code,operator,origin_stop,destination_stop,scheduled_depart,actual_depart,\
 scheduled_duration_min,actual_duration_min,weather,day_of_week,hour_of_night,vehicle_age_years,\
@@ -101,3 +106,36 @@ def test_broken_lines_are_kept_with_their_reason(spark, tmp_path):
     rows = {r.rule: (r.checked, r.violations) for r in report.collect()}
     assert rows["pings_rejected_columns"] == (7, 2) and rows["pings_rejected_latitude"] == (7, 1)
     assert rows["pings_location_id_unique"] == (2, 1) and rows["pings_trip_id_known"] == (2, 2)
+
+
+def raw_files(folder):
+    for name, text in (("timetables", TRIPS), ("disruptions", DISRUPTIONS), ("locations", LOCATIONS)):
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def test_some_tables_are_stored_as_with_all(spark, tmp_path):
+    raw = raw_csv(spark, raw_files(tmp_path))
+    whole, part = Stored(str(tmp_path / "whole")), Stored(str(tmp_path / "part"))
+    ingest(raw, whole)
+    ingest(raw, part, tables=["trips"])
+    assert {p.name for p in (tmp_path / "part").iterdir()} == {"timetables_clean"}
+    ingest(raw, part, tables=["pings", "disruptions"])
+    for one, other in ((whole.trips, part.trips), (whole.disruptions, part.disruptions),
+                       (whole.pings, part.pings), (whole.trip_keys, part.trip_keys)):
+        rows = [sorted(map(str, io.read_table(spark, path).collect())) for path in (one, other)]
+        assert rows[0] == rows[1] != []
+    with pytest.raises(ValueError, match="no such tables"):
+        ingest(raw, part, tables=["trip"])
+
+
+def test_queries_of_trips_store_no_pings(spark, tmp_path, monkeypatch):
+    folder = raw_files(tmp_path)
+    monkeypatch.setattr(workload, "_state", lambda spark, folder: ())
+    monkeypatch.setattr(workload.adapters, "raw", raw_csv)
+    assert workload.stored_trips(spark, folder).count() == 2
+    stored, made = workload._stored[spark.sparkContext.applicationId, folder, ()]
+    place = Path(urlparse(stored.folder).path)
+    assert made == {"trips"} and {p.name for p in place.iterdir()} == {"timetables_clean"}
+    assert workload.stored_tables(spark, folder) == stored
+    assert made == {"trips", "disruptions", "pings"} and len(list(place.iterdir())) == 4
