@@ -248,3 +248,17 @@ def test_reduced_curve_drops_middle_points_only(spark, small_rows):
         whole[i] for i in range(2, len(whole)) if i == len(whole) - 1 or steps[i - 1] != steps[i]]
     assert len(kept) == len(wanted) < len(whole)
     assert all(a == pytest.approx(b) for a, b in zip(kept, wanted))
+
+
+def test_a_forest_gets_few_tasks(spark):
+    few = features.FEW_HEAVY_TASKS
+    many = training_trips(spark).repartition(4 * few).cache()
+    dealt = modelling.arranged("Random Forest", many, 400)
+    assert dealt.rdd.getNumPartitions() == few
+    assert sorted(dealt.collect()) == sorted(many.collect())
+    again = modelling.arranged("Random Forest", many.repartition(5 * few), 400)
+    assert dealt.rdd.glom().collect() == again.rdd.glom().collect()
+    small = many.coalesce(few)
+    assert modelling.arranged("Random Forest", small, 400) is small
+    large = modelling.arranged("Random Forest", many, 3 * few * features.ROWS_PER_HEAVY_TASK)
+    assert large.rdd.getNumPartitions() == 3 * few
